@@ -1,0 +1,330 @@
+"""Rating models as Spark ML jobs: ALS embeddings + a stage-2 head.
+
+The reference's neural models learn one embedding per user and per item and
+feed them (their element-wise product and concatenation, plus side features
+for the hybrid models) to a small network.  Here the two parts are:
+
+stage 1  ``ALS`` learns the user and item factor tables.  It is distributed
+         by design (factor blocks are shuffled between iterations) and its
+         tables grow with the ids, never through the driver.
+stage 2  a Spark ML estimator over the assembled low-dimensional features:
+           ncf_classifier   GMF ‖ u ‖ v → MultilayerPerceptronClassifier (5 classes)
+           ncf_regressor    ALS score ‖ GMF → LinearRegression
+           hybrid_classifier GMF ‖ user ‖ item features → LogisticRegression,
+                            class-weighted (normalised inverse frequency)
+           hybrid_regressor ALS score ‖ GMF ‖ user ‖ item features → LinearRegression
+           autoencoder      u ‖ v ‖ features → StandardScaler → PCA latent,
+                            ALS score ‖ latent → LinearRegression
+         Stage 2 trains on the validation split, which ALS has not seen, so
+         the head does not learn ALS's fit to its own training labels.
+
+Ids are densely encoded (range-partitioned ranking) before ALS, which needs
+integer ids.  Users or items without factors (cold start) get the mean
+factor vector, so no row is ever dropped.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+from dataclasses import asdict, dataclass, field, replace
+
+from pyspark.ml.classification import (LogisticRegression, LogisticRegressionModel,
+                                       MultilayerPerceptronClassificationModel,
+                                       MultilayerPerceptronClassifier)
+from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import columns as C
+from ..operators import features as FE
+from ..operators import splits as S
+
+KINDS = ("ncf_classifier", "ncf_regressor", "hybrid_classifier", "hybrid_regressor",
+         "autoencoder")
+CLASSIFIERS = ("ncf_classifier", "hybrid_classifier")
+INT_MAX = 2**31 - 1
+
+
+@dataclass
+class ModelConfig:
+    kind: str = "ncf_classifier"
+    rank: int = 16              # embedding size
+    als_iter: int = 10
+    als_reg: float = 0.1
+    hidden: tuple = (32, 16)    # MLP tower of the NCF classifier
+    head_iter: int = 100
+    head_reg: float = 0.0
+    latent_dim: int = 8         # autoencoder latent size
+    seed: int = 42
+    split: str = "stratified"   # or "random"
+    test: float = 0.1
+    val: float = 0.1
+    relative_to: str = "total"
+    class_weighted: bool = False
+    checkpoint_interval: int = 5
+    user_features: tuple = ()
+    item_features: tuple = ()
+    extra: dict = field(default_factory=dict)
+
+
+# reference-like defaults per model kind (splits and heads; sizes scaled to Spark ML)
+DEFAULTS = {
+    "ncf_classifier": ModelConfig(kind="ncf_classifier", rank=16, hidden=(32, 16),
+                                  split="stratified", test=0.1, val=0.1, relative_to="total"),
+    "ncf_regressor": ModelConfig(kind="ncf_regressor", rank=16, split="stratified",
+                                 test=0.15, val=0.15, relative_to="total", head_reg=1e-5),
+    "hybrid_classifier": ModelConfig(kind="hybrid_classifier", rank=16, split="random",
+                                     test=0.1, val=0.1, relative_to="remainder",
+                                     class_weighted=True, head_reg=1e-4),
+    "hybrid_regressor": ModelConfig(kind="hybrid_regressor", rank=16, split="random",
+                                    test=0.1, val=0.15, relative_to="remainder", head_reg=1e-4),
+    "autoencoder": ModelConfig(kind="autoencoder", rank=16, latent_dim=8, split="random",
+                               test=0.1, val=0.15, relative_to="remainder", head_reg=1e-5),
+}
+
+
+def config_for(kind: str, **overrides) -> ModelConfig:
+    return replace(DEFAULTS[kind], **overrides)
+
+
+# --- data preparation ----------------------------------------------------------------
+
+@dataclass
+class Encoders:
+    users: DataFrame   # (user_id, user_idx)
+    items: DataFrame   # (item_id, item_idx)
+
+
+def fit_encoders(ratings: DataFrame) -> Encoders:
+    return Encoders(FE.fit_label_encoder(ratings, "user_id", "user_idx"),
+                    FE.fit_label_encoder(ratings, "item_id", "item_idx"))
+
+
+def encode(df: DataFrame, enc: Encoders) -> DataFrame:
+    """Add int user_idx/item_idx (ALS needs int ids; overflow is an error)."""
+    out = df.join(enc.users, "user_id", "left").join(enc.items, "item_id", "left")
+    guard = lambda c: F.when(F.col(c) <= INT_MAX, F.col(c).cast("int")).otherwise(
+        F.raise_error(F.lit(f"{c} exceeds the int range ALS supports")))
+    return out.withColumn("user_idx", guard("user_idx")).withColumn("item_idx", guard("item_idx"))
+
+
+def split(df: DataFrame, cfg: ModelConfig) -> DataFrame:
+    if cfg.split == "stratified":
+        return S.stratified_split(df, "user_id", "k", cfg.test, cfg.val, cfg.relative_to, cfg.seed)
+    return S.random_split(df, "k", cfg.test, cfg.val, cfg.relative_to, cfg.seed)
+
+
+# --- stage 1 ----------------------------------------------------------------------------
+
+def fit_als(train: DataFrame, cfg: ModelConfig) -> ALSModel:
+    als = ALS(rank=cfg.rank, maxIter=cfg.als_iter, regParam=cfg.als_reg, userCol="user_idx",
+              itemCol="item_idx", ratingCol="rating", nonnegative=False, implicitPrefs=False,
+              coldStartStrategy="nan", seed=cfg.seed,
+              checkpointInterval=cfg.checkpoint_interval)
+    return als.fit(train.select("user_idx", "item_idx", F.col("rating").cast("float")))
+
+
+def _mean_factor(factors: DataFrame, out: str) -> DataFrame:
+    """One row: the mean factor vector (distributed Summarizer aggregation)."""
+    v = factors.select(array_to_vector("features").alias("_v"))
+    return v.select(vector_to_array(Summarizer.mean(F.col("_v"))).alias(out))
+
+
+def with_factors(df: DataFrame, als: ALSModel) -> DataFrame:
+    """Add u, v (ARRAY<DOUBLE>) and als_score = u·v; cold ids get the mean factor.
+
+    Factor tables grow with the number of ids, so their joins are left to
+    AQE; the mean vectors are one-row tables (bounded broadcast).
+    """
+    uf = als.userFactors.select(F.col("id").alias("user_idx"),
+                                C.cast_vector("features").alias("_u"))
+    itf = als.itemFactors.select(F.col("id").alias("item_idx"),
+                                 C.cast_vector("features").alias("_v"))
+    mu = _mean_factor(als.userFactors, "_mu")
+    mv = _mean_factor(als.itemFactors, "_mv")
+    out = (df.join(uf, "user_idx", "left").join(itf, "item_idx", "left")
+           .crossJoin(F.broadcast(mu)).crossJoin(F.broadcast(mv))
+           .withColumn("u", F.coalesce("_u", "_mu")).withColumn("v", F.coalesce("_v", "_mv"))
+           .drop("_u", "_v", "_mu", "_mv"))
+    return out.withColumn("als_score", C.dot("u", "v"))
+
+
+# --- stage 2 ------------------------------------------------------------------------------
+
+def _side(cfg: ModelConfig) -> list:
+    return [F.col(f"`{c}`").cast("double") for c in (*cfg.user_features, *cfg.item_features)]
+
+
+def assemble_features(df: DataFrame, cfg: ModelConfig) -> DataFrame:
+    gmf = C.hadamard("u", "v")
+    side = F.array(*_side(cfg)) if _side(cfg) else F.array().cast("array<double>")
+    if cfg.kind == "ncf_classifier":
+        arr = C.concat_vectors(gmf, "u", "v")
+    elif cfg.kind == "ncf_regressor":
+        arr = C.concat_vectors(F.array("als_score"), gmf)
+    elif cfg.kind == "hybrid_classifier":
+        arr = C.concat_vectors(gmf, side)
+    elif cfg.kind == "hybrid_regressor":
+        arr = C.concat_vectors(F.array("als_score"), gmf, side)
+    elif cfg.kind == "autoencoder":
+        arr = C.concat_vectors("u", "v", side)
+    else:
+        raise ValueError(cfg.kind)
+    return df.withColumn("features", array_to_vector(arr))
+
+
+@dataclass
+class RatingModel:
+    cfg: ModelConfig
+    encoders: Encoders
+    als: ALSModel
+    head: object
+    scaler: StandardScalerModel | None = None
+    pca: PCAModel | None = None
+
+    # --- O-82 batch scoring -------------------------------------------------------
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Score rows holding user_id, item_id (and side features for hybrids).
+
+        Adds ``prediction`` (expected rating for classifiers, raw score for
+        regressors), ``predicted`` (class 1..5) and, for classifiers,
+        ``probabilities``.
+        """
+        x = with_factors(encode(df, self.encoders), self.als)
+        x = assemble_features(x, self.cfg)
+        if self.cfg.kind == "autoencoder":
+            x = self.pca.transform(self.scaler.transform(x.withColumnRenamed("features", "raw")))
+            x = x.withColumn("features", array_to_vector(C.concat_vectors(
+                F.array("als_score"), vector_to_array("latent"))))
+        out = self.head.transform(x)
+        if self.cfg.kind in CLASSIFIERS:
+            p = vector_to_array("probability")
+            out = (out.withColumn("probabilities", p)
+                   .withColumn("predicted", C.class_to_rating(C.argmax_class(p)))
+                   .withColumn("prediction", C.expected_rating(p)))
+        else:
+            out = out.withColumn("predicted", C.round_clip_rating("prediction"))
+        return out
+
+    def latent(self, df: DataFrame) -> DataFrame:
+        """O-83: (user_id, item_id, rating, latent ARRAY<DOUBLE>) of the autoencoder."""
+        if self.pca is None:
+            raise ValueError("latent vectors exist for the autoencoder only")
+        x = assemble_features(with_factors(encode(df, self.encoders), self.als), self.cfg)
+        x = self.pca.transform(self.scaler.transform(x.withColumnRenamed("features", "raw")))
+        return x.select("user_id", "item_id", "rating", vector_to_array("latent").alias("latent"))
+
+    # --- O-06 save / load ------------------------------------------------------------
+    def save(self, path: str) -> None:
+        self.als.write().overwrite().save(os.path.join(path, "als"))
+        self.head.write().overwrite().save(os.path.join(path, "head"))
+        if self.scaler is not None:
+            self.scaler.write().overwrite().save(os.path.join(path, "scaler"))
+            self.pca.write().overwrite().save(os.path.join(path, "pca"))
+        self.encoders.users.write.mode("overwrite").parquet(os.path.join(path, "enc_users"))
+        self.encoders.items.write.mode("overwrite").parquet(os.path.join(path, "enc_items"))
+        spark = self.encoders.users.sparkSession
+        spark.createDataFrame([(json.dumps(asdict(self.cfg)),)], ["cfg"]).write.mode(
+            "overwrite").json(os.path.join(path, "config"))
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "RatingModel":
+        raw = json.loads(spark.read.json(os.path.join(path, "config")).first()["cfg"])
+        cfg = ModelConfig(**{k: tuple(v) if isinstance(v, list) else v for k, v in raw.items()})
+        head_cls = {"ncf_classifier": MultilayerPerceptronClassificationModel,
+                    "hybrid_classifier": LogisticRegressionModel}.get(cfg.kind,
+                                                                      LinearRegressionModel)
+        enc = Encoders(spark.read.parquet(os.path.join(path, "enc_users")),
+                       spark.read.parquet(os.path.join(path, "enc_items")))
+        scaler = pca = None
+        if cfg.kind == "autoencoder":
+            scaler = StandardScalerModel.load(os.path.join(path, "scaler"))
+            pca = PCAModel.load(os.path.join(path, "pca"))
+        return RatingModel(cfg, enc, ALSModel.load(os.path.join(path, "als")),
+                           head_cls.load(os.path.join(path, "head")), scaler, pca)
+
+
+def _class_weights(df: DataFrame) -> DataFrame:
+    w = S.inverse_frequency_weights(df, "rating").select("rating", F.col("weight").alias("w"))
+    return df.join(F.broadcast(w), "rating", "left")  # ≤ 5 rows
+
+
+def fit_head(stage2: DataFrame, stage1: DataFrame, cfg: ModelConfig):
+    """Fit the stage-2 estimator; returns (head, scaler, pca)."""
+    scaler = pca = None
+    if cfg.kind == "ncf_classifier":
+        n_in = 3 * cfg.rank
+        est = MultilayerPerceptronClassifier(layers=[n_in, *cfg.hidden, 5], maxIter=cfg.head_iter,
+                                             seed=cfg.seed, labelCol="label")
+        head = est.fit(stage2.withColumn("label", C.rating_to_class("rating").cast("double")))
+    elif cfg.kind == "hybrid_classifier":
+        data = stage2.withColumn("label", C.rating_to_class("rating").cast("double"))
+        est = LogisticRegression(maxIter=cfg.head_iter, regParam=cfg.head_reg, family="multinomial",
+                                 labelCol="label")
+        if cfg.class_weighted:
+            data = _class_weights(data)
+            est = est.setWeightCol("w")
+        head = est.fit(data)
+    elif cfg.kind == "autoencoder":
+        scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True,
+                                withStd=True).fit(stage1.withColumnRenamed("features", "raw"))
+        pca = PCA(k=cfg.latent_dim, inputCol="scaled", outputCol="latent").fit(
+            scaler.transform(stage1.withColumnRenamed("features", "raw")))
+        x = pca.transform(scaler.transform(stage2.withColumnRenamed("features", "raw")))
+        x = x.withColumn("features", array_to_vector(C.concat_vectors(
+            F.array("als_score"), vector_to_array("latent"))))
+        head = LinearRegression(maxIter=cfg.head_iter, regParam=cfg.head_reg,
+                                labelCol="rating").fit(x.withColumn("rating", F.col("rating").cast("double")))
+    else:
+        head = LinearRegression(maxIter=cfg.head_iter, regParam=cfg.head_reg, labelCol="rating").fit(
+            stage2.withColumn("rating", F.col("rating").cast("double")))
+    return head, scaler, pca
+
+
+# --- O-84 train, select, evaluate ------------------------------------------------------
+
+@dataclass
+class FitResult:
+    model: RatingModel
+    splits: DataFrame
+    scored_test: DataFrame
+    history: DataFrame
+
+
+def fit(ratings: DataFrame, cfg: ModelConfig, side: DataFrame | None = None) -> FitResult:
+    """Split, fit ALS on train, fit the head on validation, score the test split.
+
+    ``ratings`` holds (k, user_id, item_id, rating); ``side`` optionally the
+    feature matrix columns keyed by ``k`` for the hybrid and autoencoder
+    models.
+    """
+    enc = fit_encoders(ratings)
+    base = ratings if side is None else ratings.join(side, "k", "left")
+    sp = split(base, cfg)
+    sp = encode(sp, enc).persist()
+    train = sp.where("split = 'train'")
+    als = fit_als(train, cfg)
+    stage1 = assemble_features(with_factors(train, als), cfg) if cfg.kind == "autoencoder" else None
+    stage2 = assemble_features(with_factors(sp.where("split = 'val'"), als), cfg)
+    head, scaler, pca = fit_head(stage2, stage1, cfg)
+    model = RatingModel(cfg, enc, als, head, scaler, pca)
+    test = sp.where("split = 'test'").drop("user_idx", "item_idx")
+    scored = model.transform(test)
+    hist = _objective_history(head, cfg.kind)
+    return FitResult(model, sp, scored, hist)
+
+
+def _objective_history(head, run: str) -> DataFrame | None:
+    """(run, epoch, train_loss) from the head's optimiser trace, when exposed."""
+    try:
+        trace = list(head.summary.objectiveHistory)
+    except Exception:  # some heads expose no summary
+        return None
+    spark = SparkSession.getActiveSession()
+    return spark.createDataFrame([(run, i + 1, float(v)) for i, v in enumerate(trace)],
+                                 "run string, epoch int, train_loss double")
