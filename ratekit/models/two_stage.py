@@ -37,12 +37,14 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.stat import Summarizer
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import features as FE
 from ..operators import splits as S
+from ..session import materialize
 
 KINDS = ("ncf_classifier", "ncf_regressor", "hybrid_classifier", "hybrid_regressor",
          "autoencoder")
@@ -101,8 +103,9 @@ class Encoders:
 
 
 def fit_encoders(ratings: DataFrame) -> Encoders:
-    return Encoders(FE.fit_label_encoder(ratings, "user_id", "user_idx"),
-                    FE.fit_label_encoder(ratings, "item_id", "item_idx"))
+    """Fit both id mappings and store them as tables (reused by every join)."""
+    return Encoders(materialize(FE.fit_label_encoder(ratings, "user_id", "user_idx"), "enc_users"),
+                    materialize(FE.fit_label_encoder(ratings, "item_id", "item_idx"), "enc_items"))
 
 
 def encode(df: DataFrame, enc: Encoders) -> DataFrame:
@@ -309,9 +312,17 @@ def fit(ratings: DataFrame, cfg: ModelConfig, side: DataFrame | None = None) ->
     sp = encode(sp, enc).persist()
     train = sp.where("split = 'train'")
     als = fit_als(train, cfg)
-    stage1 = assemble_features(with_factors(train, als), cfg) if cfg.kind == "autoencoder" else None
-    stage2 = assemble_features(with_factors(sp.where("split = 'val'"), als), cfg)
+    # Iterative heads (L-BFGS, PCA) pass over their input many times: keep the
+    # joined, assembled rows instead of re-running the factor joins each pass.
+    stage1 = None
+    if cfg.kind == "autoencoder":
+        stage1 = assemble_features(with_factors(train, als), cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    stage2 = assemble_features(with_factors(sp.where("split = 'val'"), als), cfg).persist(
+        StorageLevel.MEMORY_AND_DISK)
     head, scaler, pca = fit_head(stage2, stage1, cfg)
+    stage2.unpersist()
+    if stage1 is not None:
+        stage1.unpersist()
     model = RatingModel(cfg, enc, als, head, scaler, pca)
     test = sp.where("split = 'test'").drop("user_idx", "item_idx")
     scored = model.transform(test)

@@ -103,14 +103,20 @@ def history(spark, d):
 @query
 def rating_by_occupation(spark, d):
     """Rating distribution and mean rating per occupation (ratings ⟕ users)."""
-    r = TD.ratings(spark, d).select("user_id", "rating")
-    u = TD.users(spark, d).select("user_id", "occupation")
-    j = r.join(u, "user_id", "left")
-    return j.groupBy("occupation").agg(
-        F.count(F.lit(1)).alias("ratings"),
-        R(F.avg(F.col("rating").cast("double"))).alias("mean_rating"),
+    # Pre-aggregate per user (map-side combined) so the join with users moves
+    # one row per user instead of one per rating; a user holding a third of
+    # all ratings is still a single partial row.
+    r = TD.ratings(spark, d)
+    per_user = r.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("rating").cast("long").alias("_s"),
         *[F.sum(F.when(F.col("rating") == c, 1).otherwise(0)).cast("long").alias(f"n_{c}")
           for c in range(1, 6)])
+    u = TD.users(spark, d).select("user_id", "occupation")
+    j = per_user.join(u, "user_id", "left")
+    return j.groupBy("occupation").agg(
+        F.sum("_n").alias("ratings"),
+        R(F.sum("_s") / F.sum("_n")).alias("mean_rating"),
+        *[F.sum(f"n_{c}").cast("long").alias(f"n_{c}") for c in range(1, 6)])
 
 
 # --- sources and sinks -------------------------------------------------------------------

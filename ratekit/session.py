@@ -79,3 +79,14 @@ def default_parallelism(spark: SparkSession) -> int:
     except Exception:  # pragma: no cover - conf always present
         shuffle = 200
     return max(1, shuffle)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads the files instead of
+    recomputing the plan) and freezes results that are reused many times.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
