@@ -2,10 +2,19 @@
 
 Each function takes and returns ``Column`` objects so it can sit inside any
 projection; none of them introduces a Python UDF.
+
+Array functions accept an optional ``size``.  With it, the expression is
+unrolled element by element; Spark's higher-order functions (``transform``,
+``aggregate``, ``zip_with``) are evaluated without code generation and hide
+common subexpressions, so the unrolled form is several times faster for
+short fixed-length arrays (class probabilities, factor vectors).  Without a
+size the higher-order form handles any length.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,8 +56,24 @@ def argmax_class(probs: str | Column) -> Column:
     return (F.array_position(p, F.array_max(p)) - 1).cast("int")
 
 
-def softmax(logits: str | Column) -> Column:
+def _items(col: str | Column, size: int) -> list[Column]:
+    c = _c(col)
+    return [c[i] for i in range(size)]
+
+
+def _total(xs: list[Column]) -> Column:
+    """Left-to-right sum (the same order as an ``aggregate`` fold)."""
+    return reduce(lambda a, b: a + b, xs)
+
+
+def softmax(logits: str | Column, size: int | None = None) -> Column:
     """exp(x - max) / Σ exp(x - max) over an array column."""
+    if size:
+        xs = _items(logits, size)
+        m = F.greatest(*xs) if size > 1 else xs[0]
+        es = [F.exp(x - m) for x in xs]
+        t = _total(es)
+        return F.array(*[e / t for e in es])
     x = _c(logits)
     m = F.array_max(x)
     e = F.transform(x, lambda v: F.exp(v - m))
@@ -56,8 +81,10 @@ def softmax(logits: str | Column) -> Column:
     return F.transform(e, lambda v: v / total)
 
 
-def expected_rating(probs: str | Column) -> Column:
+def expected_rating(probs: str | Column, size: int | None = None) -> Column:
     """Σ p_i · (i + 1) over the class probabilities (ratings 1..n)."""
+    if size:
+        return _total([p * F.lit(float(i + 1)) for i, p in enumerate(_items(probs, size))])
     weighted = F.transform(_c(probs), lambda p, i: p * (i + 1))
     return F.aggregate(weighted, F.lit(0.0), lambda acc, v: acc + v)
 
@@ -82,20 +109,28 @@ def distance_score(prediction: str | Column, cls: str | Column) -> Column:
 
 # --- vectors -----------------------------------------------------------------
 
-def hadamard(u: str | Column, v: str | Column) -> Column:
+def hadamard(u: str | Column, v: str | Column, size: int | None = None) -> Column:
     """Element-wise product of two equally long arrays (GMF interaction)."""
+    if size:
+        return F.array(*[a * b for a, b in zip(_items(u, size), _items(v, size))])
     return F.zip_with(_c(u), _c(v), lambda a, b: a * b)
 
 
-def vector_sum(v: str | Column) -> Column:
+def vector_sum(v: str | Column, size: int | None = None) -> Column:
+    if size:
+        return _total(_items(v, size))
     return F.aggregate(_c(v), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def dot(u: str | Column, v: str | Column) -> Column:
+def dot(u: str | Column, v: str | Column, size: int | None = None) -> Column:
+    if size:
+        return _total([a * b for a, b in zip(_items(u, size), _items(v, size))])
     return vector_sum(hadamard(u, v))
 
 
-def l2_norm(v: str | Column) -> Column:
+def l2_norm(v: str | Column, size: int | None = None) -> Column:
+    if size:
+        return F.sqrt(_total([x * x for x in _items(v, size)]))
     return F.sqrt(F.aggregate(_c(v), F.lit(0.0), lambda acc, x: acc + x * x))
 
 
@@ -110,7 +145,9 @@ def max_norm_clip(v: str | Column, max_norm: float = 1.0) -> Column:
     return F.transform(_c(v), lambda x: x * factor)
 
 
-def cast_vector(v: str | Column, to: str = "double") -> Column:
+def cast_vector(v: str | Column, to: str = "double", size: int | None = None) -> Column:
+    if size:
+        return F.array(*[x.cast(to) for x in _items(v, size)])
     return F.transform(_c(v), lambda x: x.cast(to))
 
 

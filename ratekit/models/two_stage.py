@@ -145,16 +145,16 @@ def with_factors(df: DataFrame, als: ALSModel) -> DataFrame:
     AQE; the mean vectors are one-row tables (bounded broadcast).
     """
     uf = als.userFactors.select(F.col("id").alias("user_idx"),
-                                C.cast_vector("features").alias("_u"))
+                                C.cast_vector("features", size=als.rank).alias("_u"))
     itf = als.itemFactors.select(F.col("id").alias("item_idx"),
-                                 C.cast_vector("features").alias("_v"))
+                                 C.cast_vector("features", size=als.rank).alias("_v"))
     mu = _mean_factor(als.userFactors, "_mu")
     mv = _mean_factor(als.itemFactors, "_mv")
     out = (df.join(uf, "user_idx", "left").join(itf, "item_idx", "left")
            .crossJoin(F.broadcast(mu)).crossJoin(F.broadcast(mv))
            .withColumn("u", F.coalesce("_u", "_mu")).withColumn("v", F.coalesce("_v", "_mv"))
            .drop("_u", "_v", "_mu", "_mv"))
-    return out.withColumn("als_score", C.dot("u", "v"))
+    return out.withColumn("als_score", C.dot("u", "v", als.rank))
 
 
 # --- stage 2 ------------------------------------------------------------------------------
@@ -164,7 +164,7 @@ def _side(cfg: ModelConfig) -> list:
 
 
 def assemble_features(df: DataFrame, cfg: ModelConfig) -> DataFrame:
-    gmf = C.hadamard("u", "v")
+    gmf = C.hadamard("u", "v", cfg.rank)
     side = F.array(*_side(cfg)) if _side(cfg) else F.array().cast("array<double>")
     if cfg.kind == "ncf_classifier":
         arr = C.concat_vectors(gmf, "u", "v")
@@ -209,7 +209,7 @@ class RatingModel:
             p = vector_to_array("probability")
             out = (out.withColumn("probabilities", p)
                    .withColumn("predicted", C.class_to_rating(C.argmax_class(p)))
-                   .withColumn("prediction", C.expected_rating(p)))
+                   .withColumn("prediction", C.expected_rating(p, 5)))
         else:
             out = out.withColumn("predicted", C.round_clip_rating("prediction"))
         return out

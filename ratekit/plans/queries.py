@@ -406,14 +406,14 @@ def softmax_probabilities(spark, d):
     s = TD.scored(spark, d)
     logits = F.array(*[F.lit(-2.0) * F.abs(F.col("prediction") - F.lit(float(c)))
                        for c in range(1, 6)])
-    p = s.select("k", C.softmax(logits).alias("p"))
+    p = s.select("k", C.softmax(logits, 5).alias("p"))
     return p.select("k", *[R(F.element_at("p", i)).alias(f"prob_{i}") for i in range(1, 6)])
 
 
 @query
 def expected_rating(spark, d):
     p = probs(spark, d)
-    return p.select("k", "actual", R(C.expected_rating("probabilities")).alias("expected_rating"))
+    return p.select("k", "actual", R(C.expected_rating("probabilities", 5)).alias("expected_rating"))
 
 
 @query
@@ -469,7 +469,7 @@ def confusion_matrix_wide(spark, d):
 def regression_errors(spark, d):
     s = TD.scored(spark, d)
     a = E.regression_errors(s, "actual", "prediction").select(F.lit("scalar").alias("source"), "*")
-    p = probs(spark, d).select("actual", C.expected_rating("probabilities").alias("e"))
+    p = probs(spark, d).select("actual", C.expected_rating("probabilities", 5).alias("e"))
     b = E.regression_errors(p, "actual", "e").select(F.lit("expected_rating").alias("source"), "*")
     out = a.unionByName(b)
     return out.select("source", "n", R("mae").alias("mae"), R("mse").alias("mse"),

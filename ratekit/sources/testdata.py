@@ -37,6 +37,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer input splits than the cluster has
+    task slots (e.g. a file stored as one row group), so the per-row work
+    after it runs in parallel.  Large inputs already split into many tasks
+    and are returned unchanged (no extra shuffle)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots, key)
+    return df
+
+
 def rating_of(quantity: Column) -> Column:
     """Quantity 1..50 → rating 1..5 in bands of ten."""
     return (F.lit(1) + F.floor((quantity - 1) / 10)).cast("int")
@@ -47,6 +58,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_shipdate")
+    li = spread(li, "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     epoch = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
     rating = rating_of(F.col("l_quantity"))
@@ -112,10 +124,11 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def class_probabilities(prediction: Column) -> Column:
     """Five class probabilities from a scalar score: w_i = 1/(1+|p-i|), p = w/Σw."""
-    w = F.array(*[F.lit(1.0) / (F.lit(1.0) + F.abs(prediction - F.lit(float(c))))
-                  for c in range(1, 6)])
-    total = F.aggregate(w, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(w, lambda x: x / total)
+    w = [F.lit(1.0) / (F.lit(1.0) + F.abs(prediction - F.lit(float(c)))) for c in range(1, 6)]
+    total = w[0]
+    for x in w[1:]:
+        total = total + x
+    return F.array(*[x / total for x in w])
 
 
 def scored_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
