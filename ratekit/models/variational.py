@@ -1,0 +1,265 @@
+"""Variational autoencoder rating model trained data-parallel on Spark (O-81).
+
+Input rows carry a feature vector x (user and item factors from ALS plus
+side features, standardised) and a rating y.  The network:
+
+    h      = tanh(x W1 + b1)
+    μ, lv  = h Wm + bm, h Wl + bl                (latent size k)
+    z      = μ + ε ⊙ exp(½ lv)                   (training; ε ~ N(0, 1))
+    ŷ      = z wd + bd + x wr                     (decoder + residual from the input)
+    loss   = mean (ŷ − y)² + β · mean KL(N(μ, e^lv) ‖ N(0, 1))
+
+One epoch is one Spark job: the weights (a few thousand numbers, bounded
+by the layer sizes) are broadcast, every partition computes the summed
+gradient of its rows with NumPy inside ``mapInPandas`` (Arrow batches), and
+the per-partition sums are reduced JVM-side (``Summarizer.sum``) to one row.
+The driver only holds the weights, applies Adam with gradient-norm clipping,
+and runs the loop control: annealed KL weight β = min(cap, e·cap/(E//2)),
+early stopping on strict improvement with patience, reduce-on-plateau, and
+keeps the best epoch's weights.  Scoring uses z = μ (no sampling).
+
+ε is drawn from a generator seeded by (seed, epoch, first row key of the
+Arrow batch), so a recomputed partition draws the same noise.
+"""
+
+from __future__ import annotations
+
+import zlib
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+@dataclass
+class VaeConfig:
+    hidden: int = 32
+    latent: int = 8
+    epochs: int = 40
+    lr: float = 0.01
+    weight_decay: float = 1e-5
+    grad_clip: float = 2.0
+    kl_cap: float = 0.1
+    patience: int = 15
+    plateau_factor: float = 0.5
+    plateau_patience: int = 2
+    plateau_threshold: float = 1e-4
+    seed: int = 42
+
+
+# --- parameters ---------------------------------------------------------------------
+
+def _shapes(d: int, cfg: VaeConfig) -> list[tuple[str, tuple]]:
+    h, k = cfg.hidden, cfg.latent
+    return [("W1", (d, h)), ("b1", (h,)), ("Wm", (h, k)), ("bm", (k,)), ("Wl", (h, k)),
+            ("bl", (k,)), ("wd", (k,)), ("bd", (1,)), ("wr", (d,))]
+
+
+def unpack(theta: np.ndarray, d: int, cfg: VaeConfig) -> dict:
+    out, i = {}, 0
+    for name, shape in _shapes(d, cfg):
+        n = int(np.prod(shape))
+        out[name] = theta[i:i + n].reshape(shape)
+        i += n
+    return out
+
+
+def pack(parts: dict, d: int, cfg: VaeConfig) -> np.ndarray:
+    return np.concatenate([np.asarray(parts[name]).reshape(-1) for name, _ in _shapes(d, cfg)])
+
+
+def init_params(d: int, cfg: VaeConfig) -> np.ndarray:
+    rng = np.random.default_rng(cfg.seed)
+    p = {}
+    for name, shape in _shapes(d, cfg):
+        if len(shape) == 2:
+            p[name] = rng.normal(0.0, np.sqrt(1.0 / shape[0]), shape)
+        else:
+            p[name] = np.zeros(shape)
+    p["bl"] = np.full(cfg.latent, -2.0)   # start with a small posterior variance
+    p["bd"] = np.array([3.0])             # middle of the rating scale
+    return pack(p, d, cfg)
+
+
+# --- forward / backward on one batch (sums over rows) ----------------------------------
+
+def batch_terms(theta: np.ndarray, X: np.ndarray, y: np.ndarray, eps: np.ndarray | None,
+                beta: float, cfg: VaeConfig, grad: bool = True):
+    """Return (recon_sum, kl_sum, grad_of_sum_loss or None) for one batch.
+
+    ``eps=None`` scores with the mean (z = μ).
+    """
+    d = X.shape[1]
+    p = unpack(theta, d, cfg)
+    H = np.tanh(X @ p["W1"] + p["b1"])
+    M = H @ p["Wm"] + p["bm"]
+    L = H @ p["Wl"] + p["bl"]
+    S = np.exp(0.5 * L)
+    Z = M if eps is None else M + eps * S
+    yhat = Z @ p["wd"] + p["bd"][0] + X @ p["wr"]
+    r = yhat - y
+    recon = float(np.sum(r * r))
+    kl = float(np.sum(-0.5 * (1.0 + L - M * M - np.exp(L))))
+    if not grad:
+        return recon, kl, None
+    dy = 2.0 * r
+    g = {"wd": Z.T @ dy, "bd": np.array([dy.sum()]), "wr": X.T @ dy}
+    dZ = np.outer(dy, p["wd"])
+    dM = dZ + beta * M
+    dL = (0.0 if eps is None else dZ * eps * S * 0.5) + beta * (-0.5 * (1.0 - np.exp(L)))
+    g["Wm"], g["bm"] = H.T @ dM, dM.sum(axis=0)
+    g["Wl"], g["bl"] = H.T @ dL, dL.sum(axis=0)
+    dA = (dM @ p["Wm"].T + dL @ p["Wl"].T) * (1.0 - H * H)
+    g["W1"], g["b1"] = X.T @ dA, dA.sum(axis=0)
+    return recon, kl, pack(g, d, cfg)
+
+
+def _eps_for(keys: pd.Series, n: int, k: int, seed: int, epoch: int) -> np.ndarray:
+    first = str(keys.iloc[0]) if len(keys) else ""
+    rng = np.random.default_rng([seed, epoch, zlib.crc32(first.encode())])
+    return rng.standard_normal((n, k))
+
+
+# --- distributed passes --------------------------------------------------------------------
+
+_GRAD_SCHEMA = "n long, recon double, kl double, g array<double>"
+
+
+def _pass(df: DataFrame, theta: np.ndarray, d: int, cfg: VaeConfig, beta: float,
+          epoch: int, train: bool) -> tuple[int, float, float, np.ndarray | None]:
+    """One distributed pass: summed losses (and gradient when training)."""
+    sc = df.sparkSession.sparkContext
+    bc = sc.broadcast(theta)
+
+    def per_partition(batches):
+        n, rec, kl, g = 0, 0.0, 0.0, None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            X = np.stack(pdf["x"].to_numpy())
+            y = pdf["y"].to_numpy(dtype=float)
+            eps = _eps_for(pdf["k"], len(pdf), cfg.latent, cfg.seed, epoch) if train else None
+            r, kk, gg = batch_terms(bc.value, X, y, eps, beta, cfg, grad=train)
+            n, rec, kl = n + len(pdf), rec + r, kl + kk
+            if train:
+                g = gg if g is None else g + gg
+        if n:
+            yield pd.DataFrame({"n": [n], "recon": [rec], "kl": [kl],
+                                "g": [list(g) if g is not None else [0.0]]})
+
+    parts = df.mapInPandas(per_partition, _GRAD_SCHEMA)
+    row = parts.agg(F.sum("n").alias("n"), F.sum("recon").alias("recon"), F.sum("kl").alias("kl"),
+                    vector_to_array(Summarizer.sum(array_to_vector("g"))).alias("g")).first()
+    bc.unpersist()
+    grad = np.asarray(row["g"]) if train else None
+    return int(row["n"] or 0), float(row["recon"] or 0.0), float(row["kl"] or 0.0), grad
+
+
+@dataclass
+class VaeModel:
+    theta: np.ndarray
+    d: int
+    cfg: VaeConfig
+
+    def transform(self, df: DataFrame, x: str = "x", out: str = "prediction") -> DataFrame:
+        """Score with z = μ; adds ``out`` and the latent mean ``mu``."""
+        theta, d, cfg = self.theta, self.d, self.cfg
+        bc = df.sparkSession.sparkContext.broadcast(theta)
+        schema = T.StructType(list(df.schema.fields) + [
+            T.StructField(out, T.DoubleType()),
+            T.StructField("mu", T.ArrayType(T.DoubleType()))])
+
+        def score(batches):
+            for pdf in batches:
+                p = unpack(bc.value, d, cfg)
+                X = np.stack(pdf[x].to_numpy()) if len(pdf) else np.zeros((0, d))
+                H = np.tanh(X @ p["W1"] + p["b1"])
+                M = H @ p["Wm"] + p["bm"]
+                pdf[out] = M @ p["wd"] + p["bd"][0] + X @ p["wr"]
+                pdf["mu"] = list(M)
+                yield pdf
+
+        return df.mapInPandas(score, schema)
+
+
+def fit_vae(train: DataFrame, val: DataFrame, cfg: VaeConfig, x: str = "x", y: str = "rating",
+            key: str = "k") -> tuple[VaeModel, DataFrame]:
+    """Train on ``train``; early-stop on ``val``; return the best model and the
+    history table (run, epoch, train_loss, val_loss, recon_loss, kl, kl_weight, lr)."""
+    spark = train.sparkSession
+    tr = train.select(F.col(key).alias("k"), F.col(x).alias("x"),
+                      F.col(y).cast("double").alias("y")).persist()
+    va = val.select(F.col(key).alias("k"), F.col(x).alias("x"),
+                    F.col(y).cast("double").alias("y")).persist()
+    d = len(tr.select("x").first()["x"])
+    theta = init_params(d, cfg)
+    m1, m2 = np.zeros_like(theta), np.zeros_like(theta)
+    lr, best, bad_sched, sched_best = cfg.lr, float("inf"), 0, float("inf")
+    best_theta, since, step, history = theta.copy(), 0, 0, []
+    half = max(1, cfg.epochs // 2)
+    for epoch in range(1, cfg.epochs + 1):
+        beta = min(cfg.kl_cap, epoch * cfg.kl_cap / half)
+        n, rec, kl, g = _pass(tr, theta, d, cfg, beta, epoch, train=True)
+        g = g / max(n, 1) + cfg.weight_decay * theta
+        norm = float(np.linalg.norm(g))
+        if norm > cfg.grad_clip:
+            g = g * (cfg.grad_clip / norm)
+        step += 1
+        m1 = 0.9 * m1 + 0.1 * g
+        m2 = 0.999 * m2 + 0.001 * g * g
+        theta = theta - lr * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.999 ** step)) + 1e-8)
+        nv, vrec, vkl, _ = _pass(va, theta, d, cfg, beta, epoch, train=False)
+        val_loss = (vrec + beta * vkl) / max(nv, 1)
+        history.append(("vae", epoch, (rec + beta * kl) / max(n, 1), val_loss,
+                        vrec / max(nv, 1), vkl / max(nv, 1), beta, lr))
+        if val_loss < best:
+            best, best_theta, since = val_loss, theta.copy(), 0
+        else:
+            since += 1
+            if since >= cfg.patience:
+                break
+        # reduce-on-plateau, stepped after the early-stop test
+        if val_loss < sched_best * (1 - cfg.plateau_threshold):
+            sched_best, bad_sched = val_loss, 0
+        else:
+            bad_sched += 1
+        if bad_sched > cfg.plateau_patience:
+            lr, bad_sched = lr * cfg.plateau_factor, 0
+    tr.unpersist()
+    va.unpersist()
+    hist = spark.createDataFrame(history, "run string, epoch int, train_loss double, "
+                                          "val_loss double, recon_loss double, kl double, "
+                                          "kl_weight double, lr double")
+    return VaeModel(best_theta, d, cfg), hist
+
+
+# --- end-to-end: ALS factors + side features → VAE ------------------------------------------
+
+def fit_rating_vae(ratings: DataFrame, base, vae_cfg: VaeConfig):
+    """Split, learn ALS factors on train, standardise u ‖ v ‖ side features
+    (fitted on train), train the VAE on train with validation early stopping
+    and score the test split.  ``base`` is a ``two_stage.ModelConfig`` of
+    kind "autoencoder" (split rule, ALS size, side feature names).
+
+    Returns (model, scored test rows, history).
+    """
+    from pyspark.ml.feature import StandardScaler
+
+    from . import two_stage as M
+
+    enc = M.fit_encoders(ratings)
+    sp = M.encode(M.split(ratings, base), enc).persist()
+    als = M.fit_als(sp.where("split = 'train'"), base)
+    feats = M.assemble_features(M.with_factors(sp, als), base).withColumnRenamed("features", "raw")
+    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True,
+                            withStd=True).fit(feats.where("split = 'train'"))
+    x = scaler.transform(feats).withColumn("x", vector_to_array("scaled")) \
+        .select("k", "user_id", "item_id", "rating", "split", "x")
+    model, hist = fit_vae(x.where("split = 'train'"), x.where("split = 'val'"), vae_cfg)
+    scored = model.transform(x.where("split = 'test'"))
+    return model, scored, hist

@@ -88,3 +88,29 @@ def latent_pca(spark, d):
     return out.select("vec_id", "label", R("pc_1").alias("pc_1"), R("pc_2").alias("pc_2"),
                       F.lit(round(ratios[0], 6)).alias("explained_1"),
                       F.lit(round(ratios[1], 6)).alias("explained_2"))
+
+
+def _fit_vae(spark, d):
+    from ..models import variational as V
+    fm, cols = features(spark, d)
+    user_cols = [c for c in cols if c not in TD.GENRES and c != "release_date"]
+    base = M.config_for("autoencoder", user_features=tuple(user_cols),
+                        item_features=("release_date", *TD.GENRES))
+    return V.fit_rating_vae(fm, base, V.VaeConfig())
+
+
+@query
+def vae_scores(spark, d):
+    """O-81: variational autoencoder (data-parallel Adam), test split scored with μ."""
+    from ..functions import columns as C
+    _, scored, _ = _fit_vae(spark, d)
+    return scored.select("k", "user_id", "item_id", F.col("rating").alias("actual"),
+                         R("prediction").alias("prediction"),
+                         C.round_clip_rating("prediction").alias("predicted"))
+
+
+@query
+def vae_training_history(spark, d):
+    """O-69/O-73…O-75 on a real run: per-epoch losses, KL weight and learning rate."""
+    _, _, hist = _fit_vae(spark, d)
+    return hist
