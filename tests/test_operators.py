@@ -302,3 +302,19 @@ def test_plateau_lr_matches_scheduler_semantics(spark):
     for run, losses in runs.items():
         lrs = [r.lr for r in got if r.run == run]
         assert lrs == pytest.approx(_plateau_reference(losses, 0.01))
+
+
+def test_stratified_split_with_hot_user(spark):
+    # user 0 holds a third of all rows; the split must still be exact and the
+    # hot user's rows must be spread over several ranges, not one task
+    rows = [(f"h{i}", 0, 3) for i in range(400)]
+    rows += [(f"c{u}_{j}", u, 4) for u in range(1, 81) for j in range(10)]
+    df = spark.createDataFrame(rows, "k string, user_id long, rating int")
+    out = S.stratified_split(df, test=0.1, val=0.1, relative_to="total")
+    hot = {r.split: r["count"] for r in out.where("user_id = 0").groupBy("split").count().collect()}
+    assert hot["test"] == 40 and hot["val"] == 40 and hot["train"] == 320
+    ranked = O.global_row_number(df.withColumn("_h", S.seeded_hash(42, "k")),
+                                 ["user_id", "_h"], n_ranges=6)
+    per_range = (ranked.where("user_id = 0").select(F.spark_partition_id().alias("p"))
+                 .distinct().count())
+    assert per_range >= 2
