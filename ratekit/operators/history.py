@@ -49,12 +49,15 @@ def incremental_mean_history(train: DataFrame, val: DataFrame, run: str, epochs:
          .agg(F.count(F.lit(1)).alias("nv"), F.sum(y).alias("v1"), F.sum(y * y).alias("v2")))
     mse = lambda s2, s1, n, m: (s2 - F.lit(2) * m * s1 + n * m * m) / n
     out = per.join(v, "run", "left")
+    # The history has runs × epochs rows; it is written once (reliable
+    # checkpoint) so that the loop-control operators reading it several
+    # times do not rescan the rating rows.
     return out.select(
         "run", "epoch",
         F.when(F.col("n") > 0, mse(F.col("s2"), F.col("s1"), F.col("n"), F.col("m_prev")))
         .alias("train_loss"),
         F.when(F.col("nv") > 0, mse(F.col("v2"), F.col("v1"), F.col("nv"), F.col("m")))
-        .alias("val_loss"))
+        .alias("val_loss")).checkpoint(eager=True)
 
 
 def early_stopping(history: DataFrame, patience: int, loss: str = "val_loss") -> DataFrame:

@@ -95,7 +95,8 @@ def random_split(df: DataFrame, key: str = "k", test: float = 0.1, val: float =
     f_val = validation_fraction(test, val, relative_to)
     rows = df.withColumn("_h", seeded_hash(seed, key))
     ranked = global_row_number(rows, ["_h"], out="_rn")
-    n = df.agg(F.count(F.lit(1)).alias("_N"))
+    # count the checkpointed ranking, not the source (which may be a join)
+    n = ranked.agg(F.count(F.lit(1)).alias("_N"))
     n = n.withColumn("_n_test", F.expr(
         f"(_N * {f_test.numerator} + {f_test.denominator - 1}) div {f_test.denominator}"))
     n = n.withColumn("_n_val", F.expr(
