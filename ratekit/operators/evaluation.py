@@ -5,9 +5,10 @@ uses): an undefined precision, recall or F1 counts as 0; macro averages run
 over the classes present in either the actual or the predicted column;
 weighted averages use the true support.
 
-Classification metrics all start from one grouped count by
-(actual, predicted) – at most k² rows for k classes – so the large input is
-scanned once with map-side combining and everything after that is tiny.
+Classification metrics scan the large input once with map-side combining
+into tables of at most k (per class) or k² (confusion) rows; everything
+after that is tiny.  Cross-entropy is pre-aggregated per class before class
+weights are applied.
 ROC curves and AUC pre-aggregate to one row per (class, distinct score) and
 take running sums with the range-partitioned helper, so no task has to hold
 a whole class.
@@ -88,21 +89,26 @@ def confusion_matrix_wide(df: DataFrame, actual: str = "actual", predicted: str
 
 def per_class_prf(df: DataFrame, actual: str = "actual", predicted: str = "predicted",
                   labels: Sequence[int] | None = None) -> DataFrame:
-    """(class, support, predicted_n, tp, precision, recall, f1) per class."""
-    counts = pair_counts(df, actual, predicted)
-    sup = counts.groupBy(F.col("actual").alias("class")).agg(F.sum("n").alias("support"))
-    prd = counts.groupBy(F.col("predicted").alias("class")).agg(F.sum("n").alias("predicted_n"))
-    tp = (counts.where(F.col("actual") == F.col("predicted"))
-          .select(F.col("actual").alias("class"), F.col("n").alias("tp")))
-    if labels is None:
-        classes = sup.select("class").union(prd.select("class")).distinct()
-    else:
-        classes = df.sparkSession.createDataFrame([(int(v),) for v in labels], ["class"])
-    t = (classes.join(sup, "class", "left").join(prd, "class", "left").join(tp, "class", "left")
-         .select(F.col("class").cast("int").alias("class"),
-                 F.coalesce("support", F.lit(0)).cast("long").alias("support"),
-                 F.coalesce("predicted_n", F.lit(0)).cast("long").alias("predicted_n"),
-                 F.coalesce("tp", F.lit(0)).cast("long").alias("tp")))
+    """(class, support, predicted_n, tp, precision, recall, f1) per class.
+
+    One pass: every row contributes (actual class: support, tp) and
+    (predicted class: predicted_n); a single grouped sum (map-side combined,
+    k output rows) gives all counts.  Classes are those present in either
+    column, or ``labels``.
+    """
+    hit = (F.col(actual) == F.col(predicted)).cast("long")
+    rows = df.select(F.explode(F.array(
+        F.struct(F.col(actual).cast("int").alias("class"), F.lit(1).cast("long").alias("a"),
+                 F.lit(0).cast("long").alias("p"), hit.alias("tp")),
+        F.struct(F.col(predicted).cast("int").alias("class"), F.lit(0).cast("long").alias("a"),
+                 F.lit(1).cast("long").alias("p"), F.lit(0).cast("long").alias("tp")),
+    )).alias("_r")).select("_r.*")
+    t = rows.groupBy("class").agg(F.sum("a").alias("support"), F.sum("p").alias("predicted_n"),
+                                  F.sum("tp").alias("tp"))
+    if labels is not None:
+        dom = df.sparkSession.createDataFrame([(int(v),) for v in labels], "class int")
+        t = F.broadcast(dom).join(t, "class", "left").na.fill(0)  # ≤ len(labels) rows
+    t = t.select("class", *[F.col(c).cast("long").alias(c) for c in ("support", "predicted_n", "tp")])
     return (t.withColumn("precision", _safe_div(F.col("tp").cast("double"), F.col("predicted_n")))
             .withColumn("recall", _safe_div(F.col("tp").cast("double"), F.col("support")))
             .withColumn("f1", _safe_div(2.0 * F.col("tp"),
@@ -144,13 +150,13 @@ def _score_counts(ovr: DataFrame) -> DataFrame:
 
 def _with_running(ovr: DataFrame) -> DataFrame:
     """Per (class, score) rows with in-class running counts in descending score order."""
-    sc = _score_counts(ovr)
-    tot = sc.groupBy("class").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    run = running_totals(_score_counts(ovr), [F.asc("class"), F.desc("score")], ["pos", "neg"])
+    # class totals from the checkpointed counts (one row per class)
+    tot = run.groupBy("class").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     before = Window.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select("class", "P", "N",
                      F.coalesce(F.sum("P").over(before), F.lit(0)).alias("_bp"),
                      F.coalesce(F.sum("N").over(before), F.lit(0)).alias("_bn"))
-    run = running_totals(sc, [F.asc("class"), F.desc("score")], ["pos", "neg"])
     # tot: one row per class → bounded broadcast
     return (run.join(F.broadcast(tot), "class")
             .withColumn("tp", F.col("cum_pos") - F.col("_bp"))
@@ -162,10 +168,12 @@ def roc_curve(ovr: DataFrame) -> DataFrame:
     """(class, threshold, fpr, tpr): one point per distinct score (descending),
     plus the (0, 0) start point with a null threshold."""
     run = _with_running(ovr)
+    # classes come from the checkpointed score counts, not a rescan of ovr
+    classes = run.select("class").distinct()
     pts = run.select("class", F.col("score").alias("threshold"),
                      _safe_div(F.col("fp").cast("double"), F.col("N")).alias("fpr"),
                      _safe_div(F.col("tp").cast("double"), F.col("P")).alias("tpr"))
-    start = (ovr.select("class").distinct()
+    start = (classes
              .select("class", F.lit(None).cast("double").alias("threshold"),
                      F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")))
     return start.unionByName(pts)
@@ -184,20 +192,39 @@ def auc(ovr: DataFrame) -> DataFrame:
 
 # --- O-64 … O-69 losses ---------------------------------------------------------------
 
+def class_nll(df: DataFrame, probs: str, label_idx: str) -> DataFrame:
+    """(label_idx, n, nll_sum): per-class count and summed −log p_y (one pass,
+    k output rows).  Both cross-entropy forms below combine these sums."""
+    nll = -F.log(F.element_at(F.col(probs), F.col(label_idx) + 1))
+    return df.groupBy(label_idx).agg(F.count(F.lit(1)).alias("n"), F.sum(nll).alias("nll_sum"))
+
+
+def weighted_cross_entropy_from_sums(per_class: DataFrame, label_idx: str,
+                                     weights: DataFrame) -> DataFrame:
+    """(weighted_ce, unweighted_ce) from ``class_nll`` sums and a
+    (label_idx, weight) table – both tables have one row per class."""
+    j = per_class.join(weights.select(label_idx, F.col("weight").alias("_w")), label_idx, "left")
+    return j.agg(
+        (F.sum(F.col("_w") * F.col("nll_sum")) / F.sum(F.col("_w") * F.col("n"))).alias("weighted_ce"),
+        (F.sum("nll_sum") / F.sum("n")).alias("unweighted_ce"))
+
+
 def weighted_cross_entropy(df: DataFrame, probs: str, label_idx: str,
                            weights: DataFrame | None = None, weight_key: str = "class_idx",
                            weight_col: str = "weight") -> DataFrame:
     """Σ w_y · (−log p_y) / Σ w_y (unweighted when ``weights`` is None).
 
     ``label_idx`` is the zero-based class; ``weights`` is a small per-class
-    table (one row per class → bounded broadcast).
+    table.  Rows are pre-aggregated per class first, so the weights meet a
+    k-row table: Σ_c w_c·S_c / Σ_c w_c·n_c.
     """
-    nll = -F.log(F.element_at(F.col(probs), F.col(label_idx) + 1))
+    per = class_nll(df, probs, label_idx)
     if weights is None:
-        return df.agg(F.avg(nll).alias("cross_entropy"))
+        return per.agg((F.sum("nll_sum") / F.sum("n")).alias("cross_entropy"))
     w = weights.select(F.col(weight_key).alias(label_idx), F.col(weight_col).alias("_w"))
-    j = df.join(F.broadcast(w), label_idx, "left")
-    return j.agg((F.sum(F.col("_w") * nll) / F.sum("_w")).alias("cross_entropy"))
+    j = per.join(w, label_idx, "left")
+    return j.agg((F.sum(F.col("_w") * F.col("nll_sum")) / F.sum(F.col("_w") * F.col("n")))
+                 .alias("cross_entropy"))
 
 
 def batch_mean_of_means(df: DataFrame, loss: Column | str, batch: str = "batch_id") -> DataFrame:

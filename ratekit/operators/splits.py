@@ -126,9 +126,15 @@ def balanced_class_weights(df: DataFrame, label: str = "rating") -> DataFrame:
 def inverse_frequency_weights(df: DataFrame, label: str = "rating") -> DataFrame:
     """(label, count, weight): w = 1/count, rescaled so the weights sum to k."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    w = counts.withColumn("_w", F.lit(1.0) / F.col("count"))
+    return inverse_frequency_from_counts(counts, label, "count")
+
+
+def inverse_frequency_from_counts(counts: DataFrame, label: str, count_col: str) -> DataFrame:
+    """The same weights from an already aggregated (label, count) table."""
+    w = counts.select(label, F.col(count_col).alias("count")).withColumn(
+        "_w", F.lit(1.0) / F.col("count"))
     tot = w.agg(F.sum("_w").alias("_sw"), F.count(F.lit(1)).alias("_k"))
-    return (w.crossJoin(F.broadcast(tot))
+    return (w.crossJoin(F.broadcast(tot))  # one-row totals
             .select(label, "count", (F.col("_w") * F.col("_k") / F.col("_sw")).alias("weight"))
             .orderBy(label))
 
