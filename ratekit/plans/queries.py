@@ -514,7 +514,8 @@ def auc_scalar(spark, d):
 @query
 def weighted_cross_entropy(spark, d):
     p = probs(spark, d).withColumn("class_idx", C.rating_to_class("actual"))
-    per = E.class_nll(p, "probabilities", "class_idx")   # one pass → one row per class
+    # one pass → one row per class, stored once (three consumers below)
+    per = E.class_nll(p, "probabilities", "class_idx").checkpoint(eager=True)
     w = S.inverse_frequency_from_counts(per, "class_idx", "n")
     wce = E.weighted_cross_entropy_from_sums(per, "class_idx", w)
     return wce.select(R("weighted_ce").alias("weighted_ce"), R("unweighted_ce").alias("unweighted_ce"))
