@@ -186,6 +186,20 @@ class VaeModel:
 
         return df.mapInPandas(score, schema)
 
+    def save(self, spark, path: str) -> None:
+        """One-row Parquet table: weights, input size and configuration."""
+        import json
+        from dataclasses import asdict
+        spark.createDataFrame([(self.theta.tolist(), self.d, json.dumps(asdict(self.cfg)))],
+                              "theta array<double>, d int, cfg string") \
+            .write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark, path: str) -> "VaeModel":
+        import json
+        row = spark.read.parquet(path).first()
+        return VaeModel(np.asarray(row["theta"]), int(row["d"]), VaeConfig(**json.loads(row["cfg"])))
+
 
 def fit_vae(train: DataFrame, val: DataFrame, cfg: VaeConfig, x: str = "x", y: str = "rating",
             key: str = "k") -> tuple[VaeModel, DataFrame]:
