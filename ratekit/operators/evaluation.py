@@ -195,7 +195,10 @@ def auc(ovr: DataFrame) -> DataFrame:
 def class_nll(df: DataFrame, probs: str, label_idx: str) -> DataFrame:
     """(label_idx, n, nll_sum): per-class count and summed −log p_y (one pass,
     k output rows).  Both cross-entropy forms below combine these sums."""
-    nll = -F.log(F.element_at(F.col(probs), F.col(label_idx) + 1))
+    # p is clamped at 1e-15: Spark's log(0) is null, which would silently drop
+    # the row; a zero probability for the true class is a large finite loss
+    p = F.greatest(F.element_at(F.col(probs), F.col(label_idx) + 1), F.lit(1e-15))
+    nll = -F.log(p)
     return df.groupBy(label_idx).agg(F.count(F.lit(1)).alias("n"), F.sum(nll).alias("nll_sum"))
 
 

@@ -318,3 +318,22 @@ def test_stratified_split_with_hot_user(spark):
     per_range = (ranked.where("user_id = 0").select(F.spark_partition_id().alias("p"))
                  .distinct().count())
     assert per_range >= 2
+
+
+def test_cross_entropy_zero_probability_and_one_hot_rows(spark):
+    import math
+    rows = [([1.0, 0.0, 0.0, 0.0, 0.0], 0), ([0.0, 1.0, 0.0, 0.0, 0.0], 0), ([0.2] * 5, 2)]
+    df = spark.createDataFrame(rows, "p array<double>, y int")
+    ce = E.weighted_cross_entropy(df, "p", "y").first().cross_entropy
+    want = (0.0 - math.log(1e-15) - math.log(0.2)) / 3
+    assert ce == pytest.approx(want)
+
+
+def test_feature_matrix_fills_missing_item_with_zero(spark):
+    r = spark.createDataFrame([("a", 1, 10, 5), ("b", 2, 99, 3)],
+                              "k string, user_id long, item_id long, rating int")
+    u = spark.createDataFrame([(1, 0.5), (2, -0.5)], "user_id long, age double")
+    it = spark.createDataFrame([(10, 1, 1.5)], "item_id long, g_x int, release_date double")
+    fm = {x.k: x for x in FE.feature_matrix(r, u, it).collect()}
+    assert fm["b"].g_x == 0 and fm["b"].release_date == 0.0 and fm["b"].rating == 3
+    assert fm["a"].g_x == 1 and fm["a"].age == 0.5
