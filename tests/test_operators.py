@@ -337,3 +337,18 @@ def test_feature_matrix_fills_missing_item_with_zero(spark):
     fm = {x.k: x for x in FE.feature_matrix(r, u, it).collect()}
     assert fm["b"].g_x == 0 and fm["b"].release_date == 0.0 and fm["b"].rating == 3
     assert fm["a"].g_x == 1 and fm["a"].age == 0.5
+
+
+def test_splits_do_not_depend_on_shuffle_partitions(spark):
+    df = _ratings(spark, users=30, seed=9)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        a = sorted(S.stratified_split(df).select("k", "split").collect())
+        b = sorted(S.random_split(df).select("k", "split").collect())
+        e = sorted(FE.fit_label_encoder(df, "user_id").collect())
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        assert a == sorted(S.stratified_split(df).select("k", "split").collect())
+        assert b == sorted(S.random_split(df).select("k", "split").collect())
+        assert e == sorted(FE.fit_label_encoder(df, "user_id").collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
