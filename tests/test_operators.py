@@ -352,3 +352,17 @@ def test_splits_do_not_depend_on_shuffle_partitions(spark):
         assert e == sorted(FE.fit_label_encoder(df, "user_id").collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_ordering_helpers_edge_cases(spark):
+    empty = spark.createDataFrame([], "x long, v long")
+    assert O.global_row_number(empty, ["x"]).count() == 0
+    # ties keep distinct consecutive numbers; descending order is honoured
+    df = spark.createDataFrame([(1, 1), (3, 1), (3, 1), (2, 1)], "x long, v long")
+    rn = sorted((r.x, r.rn) for r in O.global_row_number(df, [F.desc("x")], n_ranges=3).collect())
+    assert [x for x, _ in rn] == [1, 2, 3, 3]
+    assert sorted(r for _, r in rn) == [1, 2, 3, 4]
+    assert dict(rn)[1] == 4 and dict(rn)[2] == 3
+    run = {r.x: r.cum_v for r in O.running_totals(
+        spark.createDataFrame([(5, 2), (1, 3), (9, 4)], "x long, v long"), [F.desc("x")], ["v"]).collect()}
+    assert run == {9: 4, 5: 6, 1: 9}
