@@ -8,9 +8,12 @@ given.  Shared folders for intermediate tables come from
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -54,8 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used
-    as is.  Only when nothing is configured (unit tests, a laptop) do we
-    fall back to a fresh folder of our own.
+    as is; without it a job there fails at once, because executors do not
+    see each other's local folders.  Only a ``local`` master (unit tests, a
+    laptop) falls back to a fresh folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,11 +67,45 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not _is_single_machine(sc.master):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ratekit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def _is_single_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in every Python worker.
+
+    Workers unpickle functions by module name, so they need the package
+    whatever folder the driver was started from.  The sources are zipped
+    once per content and handed to Spark, which copies them to executors,
+    also to those that join later.
+    """
+    root = Path(__file__).resolve().parent
+    if not root.is_dir():  # already running from a shipped archive
+        return
+    files = sorted(p for p in root.rglob("*.py"))
+    digest = hashlib.sha256()
+    for p in files:
+        digest.update(str(p.relative_to(root)).encode())
+        digest.update(p.read_bytes())
+    name = f"ratekit-{digest.hexdigest()[:12]}.zip"
+    sc = spark.sparkContext
+    if any(name in str(f) for f in sc._python_includes):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="ratekit-ship-")) / name
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in files:
+            z.write(p, f"ratekit/{p.relative_to(root)}")
+    sc.addPyFile(str(archive))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table under the shared folder."""
     base = ensure_checkpoint_dir(spark)
