@@ -85,5 +85,5 @@ def shingles(hashes: np.ndarray, size: int = 5) -> np.ndarray:
     for j in range(width):
         total += hashes[j:n - width + 1 + j] * _SHINGLE[j]
     if n < size:
-        total += _U64(n) * _SHINGLE[63]
+        total += _U64(n * int(_SHINGLE[63]) % 2**64)
     return mix(total)

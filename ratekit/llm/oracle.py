@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import host_quality as HQ
+from . import minhash_dedup as MD
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -48,3 +49,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        host, round(rate, 6) AS host_rate, coalesce(rate > {HQ.MAX_RATE}, false) AS host_rejected
 FROM b LEFT JOIN verdicts USING (host)
 """
+
+ORACLE_SQL["op4_minhash_dedup"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n, list(g ORDER BY g) AS gs FROM s GROUP BY doc_id),
+c AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY gs) AS class_id FROM n),
+cs AS (SELECT s.* FROM s JOIN c USING (doc_id) WHERE doc_id = class_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+  FROM cs x JOIN cs y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN c x ON x.doc_id = a JOIN c y ON y.doc_id = b
+  WHERE 100 * k >= {MD.THRESHOLD_PCT} * (x.n + y.n - k)),
+either AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT class_id AS a, class_id AS b FROM c
+  UNION SELECT reach.a, either.b FROM reach JOIN either ON reach.b = either.a),
+label AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(c.n, 0)::BIGINT AS n_shingles, coalesce(c.class_id, d.doc_id) AS class_id,
+       coalesce(component_id, d.doc_id) AS component_id, coalesce(component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN label ON label.a = c.class_id
+"""

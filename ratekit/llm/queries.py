@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, host_quality
+from . import byte_bpe, host_quality, minhash_dedup
 from .oracle import ORACLE_SQL  # noqa: F401  (read by the entry module)
 
 QUERIES = {}
@@ -50,3 +50,9 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", byte_bpe.n_tokens(F.col("ids")).alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: size of its shingle set, its class, its component and whether it stays."""
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
