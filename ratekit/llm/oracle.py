@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import decontaminate as DC
 from . import host_quality as HQ
 from . import minhash_dedup as MD
 
@@ -76,3 +77,33 @@ SELECT d.doc_id, coalesce(c.n, 0)::BIGINT AS n_shingles, coalesce(c.class_id, d.
        coalesce(component_id, d.doc_id) AS component_id, coalesce(component_id, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN label ON label.a = c.class_id
 """
+
+_ASCII_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLE_SQL["op6_decontaminate"] = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_ASCII_LOWER}),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_ASCII_LOWER}),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), {DC.WINDOW}) AS k,
+         array_to_string(w[i:i + least(len(w), {DC.WINDOW}) - 1], ' ') AS g
+  FROM b, unnest(range(1, greatest(len(w) - {DC.WINDOW}, 0) + 2)) t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT k FROM windows),
+own AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM d, sizes, unnest(range(1, len(w) - k + 2)) t(i)),
+hits AS (SELECT doc_id, i, k, item_id FROM own JOIN windows USING (k, g)),
+n AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND {DC.HIT_SHARE} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, host_quality, minhash_dedup
+from . import byte_bpe, decontaminate, host_quality, minhash_dedup
 from .oracle import ORACLE_SQL  # noqa: F401  (read by the entry module)
 
 QUERIES = {}
@@ -56,3 +56,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: size of its shingle set, its class, its component and whether it stays."""
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its words, those inside benchmark windows, the items met, the verdict."""
+    judged = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
