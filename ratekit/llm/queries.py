@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, host_quality, minhash_dedup
+from . import byte_bpe, decontaminate, host_quality, line_dedup, minhash_dedup
 from .oracle import ORACLE_SQL  # noqa: F401  (read by the entry module)
 
 QUERIES = {}
@@ -64,3 +64,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return judged.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                          F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, how many an earlier line stands for, digest of what is left."""
+    cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cut.select("row.doc_id", "n_lines", "n_dropped", F.sha2("cut_text", 256).alias("text_sha256"))
