@@ -5,6 +5,8 @@ from __future__ import annotations
 from . import decontaminate as DC
 from . import host_quality as HQ
 from . import minhash_dedup as MD
+from . import slot_sharding as SS
+from . import url_equivalence as UE
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -107,3 +109,99 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AND {DC.HIT_SHARE} * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLE_SQL["op8_slot_sharding"] = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, range(8)), lambda c, i:
+           CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+d AS (
+  SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + {SS.OVERHEAD} AS size,
+         xor(list_reduce(list_prepend(4294967295, list_transform(
+           regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)::BIGINT AS text_crc32,
+         ('0x' || left(md5(coalesce(doc_id::VARCHAR, '') || '/' || md5(coalesce(text, ''))), 8))::BIGINT
+           % {SS.SLOTS} AS vslot
+  FROM documents, crc),
+slots AS (SELECT vslot, sum(size)::BIGINT AS bytes, count(*) AS n FROM d GROUP BY vslot),
+ranked AS (SELECT *, row_number() OVER (ORDER BY bytes DESC, vslot) AS rn FROM slots),
+lpt(rn, loads, shard) AS (
+  SELECT 0::BIGINT, list_transform(range(24), lambda x: 0::BIGINT), 0
+  UNION ALL
+  SELECT s.rn, list_transform(l.loads, lambda x, i:
+           CASE WHEN i = list_position(l.loads, list_min(l.loads)) THEN x + s.bytes * 100000 + 1 ELSE x END),
+         list_position(l.loads, list_min(l.loads))::INT - 1
+  FROM lpt l JOIN ranked s ON s.rn = l.rn + 1),
+placed AS (
+  SELECT vslot, shard, coalesce(sum(n) OVER (PARTITION BY shard ORDER BY vslot
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first
+  FROM ranked JOIN lpt USING (rn))
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard::INT AS shard,
+       (first + row_number() OVER (PARTITION BY vslot ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1)::BIGINT
+         AS slot,
+       NULL::INT AS grown_shard, vslot::INT AS virtual_slot
+FROM d JOIN placed USING (vslot)
+"""
+
+_HOST = "regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1)"
+_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+_RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in _RULES)
+_TRACKING = "^(" + "|".join(UE.TRACKING) + ")(=|$)"
+
+
+def _fitting(rows: str, key: str) -> str:
+    """For each ``key`` of ``rows`` (with host and path) its longest fitting rule."""
+    return f"""SELECT {key}, arg_max(rh || rp, len(rh || rp)) AS rule, arg_max(v, len(rh || rp)) AS verdict
+  FROM {rows}, (VALUES {_RULE_ROWS}) r(v, rh, rp)
+  WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY {key}"""
+
+
+ORACLE_SQL["op5_url_equivalence"] = rf"""
+WITH RECURSIVE links AS (
+  SELECT url, unnest(list_filter([
+    regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*?\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
+    regexp_extract(html, '(?is)<link\b[^>]*\bhref\s*=\s*["'']?([^"''\s>]+)[^>]*\brel\s*=\s*["'']?canonical\b', 1),
+    regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*?\burl\s*=\s*["'']?([^"''\s>]+)',
+                   1)], lambda t: t <> '')) AS t
+  FROM pages WHERE url IS NOT NULL),
+targets AS (
+  SELECT url AS a, CASE WHEN contains(t, '://') THEN t
+      WHEN starts_with(t, '//') THEN regexp_extract(url, '^([^:/?#]*:)//', 1) || t
+      WHEN starts_with(t, '/') THEN regexp_extract(url, '^([^:/?#]*://[^/?#]*)', 1) || t
+      ELSE regexp_extract(url, '^([^:/?#]*://[^/?#]*)', 1)
+           || regexp_replace('/' || regexp_replace(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '^/', ''), '[^/]*$', '')
+           || t END AS b
+  FROM (SELECT DISTINCT url, replace(t, '&amp;', '&') AS t FROM links)),
+urls AS (SELECT url FROM pages WHERE url IS NOT NULL UNION SELECT b FROM targets),
+parts AS (
+  SELECT url, translate({_HOST}, {_ASCII_LOWER}) AS host, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path,
+         list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'),
+                     lambda p: p <> '' AND NOT regexp_matches(p, '{_TRACKING}')) AS params
+  FROM urls),
+plain AS (
+  SELECT url AS a, '://' || regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '')
+           || regexp_replace(path, '/+$', '')
+           || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS b
+  FROM parts WHERE regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '') <> ''),
+edges AS (SELECT a, b FROM targets UNION SELECT a, b FROM plain),
+either AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach AS (
+  SELECT a, a AS b FROM either UNION SELECT reach.a, either.b FROM reach JOIN either ON reach.b = either.a),
+label AS (SELECT a AS node, min(b) AS component FROM reach GROUP BY a),
+nodes AS (
+  SELECT node, component, translate(regexp_extract(node, '://([^/?#]*)', 1), {_ASCII_LOWER}) AS host,
+         regexp_extract(node, '://[^/?#]*([^?#]*)', 1) AS path FROM label),
+own AS ({_fitting('nodes', 'node')}),
+classes AS (
+  SELECT component, bool_or(coalesce(verdict = 'block', false)) AND NOT bool_or(coalesce(verdict = 'allow', false))
+           AS blocked
+  FROM nodes LEFT JOIN own USING (node) GROUP BY component),
+p AS (
+  SELECT page_id, url, translate({_HOST}, {_ASCII_LOWER}) AS host,
+         regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+ruled AS ({_fitting('p', 'page_id')})
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN coalesce(blocked, false) THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(component, url) AS alias_of
+FROM p LEFT JOIN ruled USING (page_id) LEFT JOIN label ON node = url LEFT JOIN classes USING (component)
+"""

@@ -12,7 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, host_quality, line_dedup, minhash_dedup
+from ..session import shared_path
+from . import (byte_bpe, decontaminate, host_quality, line_dedup, minhash_dedup, slot_sharding,
+               url_equivalence)
 from .oracle import ORACLE_SQL  # noqa: F401  (read by the entry module)
 
 QUERIES = {}
@@ -71,3 +73,26 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, how many an earlier line stands for, digest of what is left."""
     cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return cut.select("row.doc_id", "n_lines", "n_dropped", F.sha2("cut_text", 256).alias("text_sha256"))
+
+
+#: The rules of the URL query.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+SHARDS = 24
+
+
+@query
+def op5_url_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: host, path, the rule that fits, the verdict, the least alias."""
+    judged = url_equivalence.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("row.page_id", "host", "path", "rule", "verdict", "alias_of")
+
+
+@query
+def op8_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its bytes, checksum, shard and place in the shard; shards hold near equal bytes."""
+    put = slot_sharding.shard(table(spark, sf_dir, "documents"), shared_path(spark, "shard-map"), SHARDS)
+    return put.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                      F.col("position").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+                      F.col("slot").alias("virtual_slot"))
