@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from . import (byte_bpe, decontaminate, host_quality, line_dedup, minhash_dedup, slot_sharding,
-               url_equivalence)
+from . import (byte_bpe, decontaminate, host_quality, html_layout, license_scan, line_dedup, minhash_dedup,
+               slot_sharding, url_equivalence)
 from .oracle import ORACLE_SQL  # noqa: F401  (read by the entry module)
 
 QUERIES = {}
@@ -96,3 +96,20 @@ def op8_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return put.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                       F.col("position").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
                       F.col("slot").alias("virtual_slot"))
+
+
+@query
+def op1_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: the text that a reader sees, laid out, and its number of lines."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    return html_layout.extract(pages).select("page_id", "text", F.size(F.split("text", "\n")).alias("n_lines"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number of licence matches, the licences, the words at which they stand."""
+    found = license_scan.with_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.size("licenses").alias("n_matches"),
+                        F.array_join(F.array_sort(F.array_distinct("licenses.license")), ",").alias("licenses"),
+                        F.array_join("licenses.start", ",").alias("starts"),
+                        F.round(F.array_min("licenses.contained"), 6).alias("least_contained"))
