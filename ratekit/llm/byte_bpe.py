@@ -36,12 +36,14 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from .common import bounded_batches
+
 MAX_VOCABULARY = 64 << 20
 LONG_PIECE = 512
 #: Cells of one padded matrix.
 MATRIX_CELLS = 1 << 18
 #: Distinct pieces a worker remembers before it starts afresh.
-PIECE_CACHE = 300_000
+PIECE_CACHE = 120_000
 
 _NONE = np.int32(2**31 - 1)
 
@@ -131,11 +133,6 @@ class ByteBPE:
         self._learn(list(new))
         return [b"".join(map(known.__getitem__, found)) for found in pieces]
 
-    def decode(self, packed: bytes | None) -> bytes:
-        if not packed:
-            return b""
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
-
     def _learn(self, pieces: list[str]) -> None:
         """Put the ids of each new piece into the cache."""
         todo: list[str] = []
@@ -238,6 +235,13 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, raw.splitlines()) if token}
 
 
+def decode_ids(packed: bytes | None, bytes_of: dict[int, bytes]) -> bytes:
+    """The bytes of packed ids; none for null."""
+    if not packed:
+        return b""
+    return b"".join(map(bytes_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+
+
 def read_vocabulary(path: str) -> bytes:
     with open(path, "rb") as f:
         raw = f.read(MAX_VOCABULARY + 1)
@@ -246,21 +250,28 @@ def read_vocabulary(path: str) -> bytes:
     return raw
 
 
-_CODERS: dict[tuple[int, str], ByteBPE] = {}
+_BUILT: dict[tuple, object] = {}
+
 
+def _built(build, raw: bytes, *rest):
+    """What ``build`` makes of a broadcast vocabulary, made once in a worker."""
+    key = (build.__name__, hash(raw), *rest)
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = build(raw, *rest)
+    return _BUILT[key]
 
-def _coder(shared, pattern: str) -> ByteBPE:
-    """This worker's coder for a broadcast vocabulary; built at its first use."""
-    raw = shared.value
-    key = (hash(raw), pattern)
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = ByteBPE(read_ranks(raw), pattern)
-    return _CODERS[key]
+
+def _coder(raw: bytes, pattern: str) -> ByteBPE:
+    return ByteBPE(read_ranks(raw), pattern)
+
+
+def _token_bytes(raw: bytes) -> dict[int, bytes]:
+    return {rank: token for token, rank in read_ranks(raw).items()}
 
 
 #: Characters of text encoded together; bounds what a worker holds besides its Arrow batch.
-GROUP_CHARS = 2 << 20
+GROUP_CHARS = 1 << 19
 
 
 def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
@@ -280,6 +291,7 @@ class Tokenizer:
     """Column expressions that encode and decode by one vocabulary."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
+        bounded_batches(spark)
         self.shared = spark.sparkContext.broadcast(read_vocabulary(path))
         self.pattern = pattern
 
@@ -289,7 +301,7 @@ class Tokenizer:
 
         @F.pandas_udf(BinaryType())
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            coder = _coder(shared, pattern)
+            coder = _built(_coder, shared.value, pattern)
             for texts in batches:
                 out = [ids for group in _groups(texts.tolist()) for ids in coder.encode(group)]
                 yield pd.Series(out, dtype=object)
@@ -298,13 +310,13 @@ class Tokenizer:
 
     def decode(self, ids: Column) -> Column:
         """The bytes that packed ids stand for."""
-        shared, pattern = self.shared, self.pattern
+        shared = self.shared
 
         @F.pandas_udf(BinaryType())
         def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            coder = _coder(shared, pattern)
+            bytes_of = _built(_token_bytes, shared.value)
             for packed in batches:
-                yield pd.Series([coder.decode(p) for p in packed], dtype=object)
+                yield pd.Series([decode_ids(p, bytes_of) for p in packed], dtype=object)
 
         return decode(ids)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A table is broadcast only where its counted rows stay under this many bytes.
@@ -13,9 +13,18 @@ BROADCAST_BYTES = 64 << 20
 #: Distinct words whose hashes one Python worker remembers before it starts afresh.
 WORD_CACHE = 400_000
 
+#: Bounds of an Arrow batch given to a Python function over texts.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+
 _U64 = np.uint64
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes as well as rows: texts vary from words to megabytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def packed(docs: DataFrame, **columns: str) -> DataFrame:
     """``row`` (all columns as one struct) next to the named working columns.
 

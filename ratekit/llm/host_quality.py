@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import materialize
-from .common import packed
+from .common import bounded_batches, packed
 
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
@@ -76,6 +76,7 @@ def _measured(texts: pd.Series) -> pd.DataFrame:
 
 
 def _with_counts(rows: DataFrame, min_words: int, max_repeat_pct: int) -> DataFrame:
+    bounded_batches(rows.sparkSession)
     counted = rows.withColumn("m", _measured("text"))
     return counted.withColumn("base_failed", (F.col("m.n_words") < min_words) | (
         100 * F.col("m.n_repeat_words") > max_repeat_pct * F.col("m.n_words")))
