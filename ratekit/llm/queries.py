@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_path
 from . import (byte_bpe, decontaminate, host_quality, html_layout, license_scan, line_dedup, minhash_dedup,
-               slot_sharding, url_equivalence)
+               slot_sharding, toxicity, url_equivalence)
 from .oracle import ORACLE_SQL  # noqa: F401  (read by the entry module)
 
 QUERIES = {}
@@ -113,3 +113,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(F.array_sort(F.array_distinct("licenses.license")), ",").alias("licenses"),
                         F.array_join("licenses.start", ",").alias("starts"),
                         F.round(F.array_min("licenses.contained"), 6).alias("least_contained"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: whether it was held out of training, its score, the predicted label."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.with_scores(docs, table(spark, sf_dir, "labels"), into="score")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
