@@ -122,3 +122,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.with_scores(docs, table(spark, sf_dir, "labels"), into="score")
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of the documents that the corpus pipeline keeps."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
