@@ -38,10 +38,10 @@ def accuracy(df: DataFrame, actual: str = "actual", predicted: str = "predicted"
 
 
 def regression_errors(df: DataFrame, actual: str = "actual",
-                      prediction: str = "prediction") -> DataFrame:
-    """(n, mae, mse, rmse) in one pass."""
+                      prediction: str = "prediction", by: str | None = None) -> DataFrame:
+    """(n, mae, mse, rmse) in one pass, of all rows or for each value of ``by``."""
     err = F.col(prediction).cast("double") - F.col(actual).cast("double")
-    return df.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(err)).alias("mae"),
+    return df.groupBy(*[by] if by else []).agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(err)).alias("mae"),
                   F.avg(err * err).alias("mse")).withColumn("rmse", F.sqrt("mse"))
 
 
@@ -107,7 +107,7 @@ def per_class_prf(df: DataFrame, actual: str = "actual", predicted: str = "predi
                                   F.sum("tp").alias("tp"))
     if labels is not None:
         dom = df.sparkSession.createDataFrame([(int(v),) for v in labels], "class int")
-        t = F.broadcast(dom).join(t, "class", "left").na.fill(0)  # ≤ len(labels) rows
+        t = dom.join(F.broadcast(t.where(F.col("class").isin(list(labels)))), "class", "left").na.fill(0)
     t = t.select("class", *[F.col(c).cast("long").alias(c) for c in ("support", "predicted_n", "tp")])
     return (t.withColumn("precision", _safe_div(F.col("tp").cast("double"), F.col("predicted_n")))
             .withColumn("recall", _safe_div(F.col("tp").cast("double"), F.col("support")))
@@ -192,12 +192,13 @@ def auc(ovr: DataFrame) -> DataFrame:
 
 # --- O-64 … O-69 losses ---------------------------------------------------------------
 
-def class_nll(df: DataFrame, probs: str, label_idx: str) -> DataFrame:
+def class_nll(df: DataFrame, probs: str, label_idx: str, least_probability: float = 1e-15) -> DataFrame:
     """(label_idx, n, nll_sum): per-class count and summed −log p_y (one pass,
-    k output rows).  Both cross-entropy forms below combine these sums."""
-    # p is clamped at 1e-15: Spark's log(0) is null, which would silently drop
-    # the row; a zero probability for the true class is a large finite loss
-    p = F.greatest(F.element_at(F.col(probs), F.col(label_idx) + 1), F.lit(1e-15))
+    k output rows).  Both cross-entropy forms below combine these sums.
+
+    A probability counts as ``least_probability`` at least: Spark's log(0) is
+    null, which would silently drop the row from the sum."""
+    p = F.greatest(F.element_at(F.col(probs), F.col(label_idx) + 1), F.lit(least_probability))
     nll = -F.log(p)
     return df.groupBy(label_idx).agg(F.count(F.lit(1)).alias("n"), F.sum(nll).alias("nll_sum"))
 
@@ -247,9 +248,10 @@ def kl_to_standard_normal(mu: str | Column, logvar: str | Column) -> Column:
 
 
 def kl_weight(epoch: Column, epochs: int, cap: float = 0.1) -> Column:
-    """Annealed KL weight min(cap, epoch · cap / (epochs // 2))."""
+    """Annealed KL weight min(cap, (epoch − 1) · cap / (epochs // 2)) of 1-based
+    epochs: nothing in the first epoch, the cap from the middle on."""
     half = max(1, epochs // 2)
-    return F.least(F.lit(cap), epoch.cast("double") * F.lit(cap) / F.lit(float(half)))
+    return F.least(F.lit(cap), (epoch.cast("double") - 1) * F.lit(cap) / F.lit(float(half)))
 
 
 def composite_loss(recon: Column, kl: Column, epoch: Column, epochs: int,
@@ -276,13 +278,17 @@ def rank_models(metrics: DataFrame) -> DataFrame:
 
 
 def relative_change(metrics: DataFrame, baseline_model: str) -> DataFrame:
-    """Improvement in % over the baseline model, per metric (positive = better)."""
-    base = (metrics.where(F.col("model") == baseline_model)
-            .select("metric", F.col("value").alias("_b")))
+    """Improvement in % over the baseline model, per metric (positive = better).
+
+    The baseline's value comes from a window over each metric (one row per
+    model), so ``metrics`` is computed once; a metric that the baseline
+    lacks keeps its rows, with a null improvement.
+    """
+    base = F.max(F.when(F.col("model") == baseline_model, F.col("value"))).over(Window.partitionBy("metric"))
     d = _direction(F.col("metric"))
-    return (metrics.join(base, "metric")
-            .withColumn("improvement_pct",
-                        _safe_div(d * (F.col("_b") - F.col("value")) * 100.0, F.abs(F.col("_b"))))
+    return (metrics.withColumn("_b", base)
+            .withColumn("improvement_pct", F.when(F.col("_b").isNotNull(), _safe_div(
+                d * (F.col("_b") - F.col("value")) * 100.0, F.abs(F.col("_b")))))
             .drop("_b"))
 
 

@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from .ordering import global_row_number
 
-MAX_CATEGORIES = 10_000  # guard for one-hot domains collected to the driver
-
-
 # --- O-15 standard scaling -----------------------------------------------------
 
 def fit_standard_scaler(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -58,12 +55,8 @@ def standard_scale(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | No
 # --- O-14 one-hot --------------------------------------------------------------
 
 def category_domain(df: DataFrame, column: str) -> list:
-    """Sorted distinct non-null values; refuses domains above MAX_CATEGORIES."""
-    rows = (df.select(column).where(F.col(column).isNotNull()).distinct()
-            .limit(MAX_CATEGORIES + 1).collect())
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"{column}: more than {MAX_CATEGORIES} categories for one-hot")
-    return sorted(r[0] for r in rows)
+    """Sorted distinct non-null values of a code column: one row per future column."""
+    return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
 
 
 def one_hot(df: DataFrame, columns: Sequence[str],
@@ -71,9 +64,10 @@ def one_hot(df: DataFrame, columns: Sequence[str],
     """Replace each categorical column by ``<col>_<value>`` 0/1 INT columns.
 
     Values come in sorted order and the new columns go to the end, the
-    source column is removed.  ``domains`` fixes the values (e.g. a code
-    table) so that unseen values give all-zero rows and the schema does not
-    depend on the data.
+    source column is removed.  ``domains`` fixes the values (a code
+    table) so that unseen values give all-zero rows, the schema does not
+    depend on the data and no job runs while the plan is built; a column
+    without one takes the values met in the data.
     """
     domains = dict(domains or {})
     out = df

@@ -33,10 +33,9 @@ def incremental_mean_history(train: DataFrame, val: DataFrame, run: str, epochs:
     y = F.col(label).cast("long")
     per = (train.groupBy(F.col(run).alias("run"), chunk.alias("epoch"))
            .agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s1"), F.sum(y * y).alias("s2")))
-    grid = (per.select("run").distinct()
-            .crossJoin(train.sparkSession.range(1, epochs + 1)
-                       .select(F.col("id").cast("int").alias("epoch"))))
-    per = grid.join(per, ["run", "epoch"], "left").na.fill(0, ["n", "s1", "s2"])
+    grid = per.select("run").distinct().select(
+        "run", F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"))
+    per = _join_runs(grid, per, ["run", "epoch"]).na.fill(0, ["n", "s1", "s2"])
     w = Window.partitionBy("run").orderBy("epoch")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -48,7 +47,7 @@ def incremental_mean_history(train: DataFrame, val: DataFrame, run: str, epochs:
     v = (val.groupBy(F.col(run).alias("run"))
          .agg(F.count(F.lit(1)).alias("nv"), F.sum(y).alias("v1"), F.sum(y * y).alias("v2")))
     mse = lambda s2, s1, n, m: (s2 - F.lit(2) * m * s1 + n * m * m) / n
-    out = per.join(v, "run", "left")
+    out = _join_runs(per, v, ["run"])
     # The history has runs × epochs rows; it is written once (reliable
     # checkpoint) so that the loop-control operators reading it several
     # times do not rescan the rating rows.
@@ -60,6 +59,13 @@ def incremental_mean_history(train: DataFrame, val: DataFrame, run: str, epochs:
         .alias("val_loss")).checkpoint(eager=True)
 
 
+def _join_runs(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join in which a null run meets a null run (rows without a known group are one run)."""
+    other = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.join(other, on, "left").drop(*[f"_{k}" for k in keys])
+
+
 def early_stopping(history: DataFrame, patience: int, loss: str = "val_loss") -> DataFrame:
     """Per (run, epoch): improved flag, epochs without improvement, stop flag.
 
@@ -87,12 +93,12 @@ def run_summary(history: DataFrame, patience: int, loss: str = "val_loss") -> Da
     stops = es.groupBy("run").agg(
         F.min(F.when(F.col("stops"), F.col("epoch"))).alias("stop_epoch"),
         F.max("epoch").alias("_last"))
-    ran = es.join(stops, "run").where(
+    ran = _join_runs(es, stops, ["run"]).where(
         F.col("stop_epoch").isNull() | (F.col("epoch") <= F.col("stop_epoch")))
     best = ran.groupBy("run").agg(
         F.min_by("epoch", F.struct(F.col(loss), F.col("epoch"))).alias("best_epoch"),
         F.min(loss).alias("best_loss"))
-    return (stops.join(best, "run")
+    return (_join_runs(stops, best, ["run"])
             .select("run", "stop_epoch",
                     F.coalesce("stop_epoch", "_last").alias("epochs_run"),
                     "best_epoch", "best_loss")
@@ -101,8 +107,7 @@ def run_summary(history: DataFrame, patience: int, loss: str = "val_loss") -> Da
 
 def plateau_learning_rate(history: DataFrame, lr0: float, factor: float = 0.5,
                           patience: int = 2, threshold: float = 1e-4,
-                          stop_patience: int | None = None, loss: str = "val_loss",
-                          max_epochs: int = 1000) -> DataFrame:
+                          stop_patience: int | None = None, loss: str = "val_loss") -> DataFrame:
     """(run, epoch, lr): learning rate in effect during each epoch.
 
     Reduce-on-plateau in "min" mode with a relative threshold: an epoch is
@@ -111,19 +116,16 @@ def plateau_learning_rate(history: DataFrame, lr0: float, factor: float = 0.5,
     The scheduler steps after each epoch; with ``stop_patience`` it does not
     step on the stopping epoch and epochs after it are dropped.
 
-    The fold is a per-run ``aggregate`` over that run's epochs; a run has at
-    most ``max_epochs`` rows (checked), so the collected array is bounded.
+    The fold is a per-run ``aggregate`` over that run's epochs.  A run has one
+    row per epoch, whatever the size of the training data, so the array is
+    as long as the run's configured number of epochs.
     """
     h = history
     if stop_patience is not None:
         summ = run_summary(history, stop_patience, loss).select("run", "epochs_run")
-        h = h.join(summ, "run").where(F.col("epoch") <= F.col("epochs_run")).drop("epochs_run")
+        h = _join_runs(h, summ, ["run"]).where(F.col("epoch") <= F.col("epochs_run")).drop("epochs_run")
     per_run = h.groupBy("run").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("epoch"), F.col(loss).alias("l")))).alias("hs"),
-        F.count(F.lit(1)).alias("_n"))
-    per_run = per_run.withColumn(
-        "hs", F.when(F.col("_n") <= max_epochs, F.col("hs"))
-        .otherwise(F.raise_error(F.lit("history longer than max_epochs"))))
+        F.array_sort(F.collect_list(F.struct(F.col("epoch"), F.col(loss).alias("l")))).alias("hs"))
     init = F.struct(F.lit(float("inf")).alias("best"), F.lit(0).alias("bad"),
                     F.lit(float(lr0)).alias("lr"),
                     F.array().cast("array<struct<epoch:int,lr:double>>").alias("out"))

@@ -24,18 +24,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism
+from ..session import default_parallelism, materialize
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
+#: Bytes on disk of the rows that make one sorted range.
+RANGE_BYTES = 64 << 20
 
 
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def _range_count(df: DataFrame) -> int:
+    """Enough ranges for RANGE_BYTES each of a stored table, at least one per shuffle partition.
+
+    AQE does not resize an explicit repartitionByRange, so the number follows
+    the table's size on disk, which the planner knows without a job.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = default_parallelism(df.sparkSession)
+    return max(least, -(-size // RANGE_BYTES))
+
+
 def _ranged(df: DataFrame, order: list[Column], n_ranges: int | None) -> DataFrame:
-    n = n_ranges or default_parallelism(df.sparkSession)
-    return df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    stored = materialize(df, "unordered")  # sampling and sorting read it, not its source twice
+    n = n_ranges or _range_count(stored)
+    return stored.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
 
 
 def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "rn",
@@ -50,9 +64,12 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
     # After the checkpoint, partition index and row order are fixed, so the
     # id below is a pure function of the stored data.
     mid = F.monotonically_increasing_id()
-    pos = ranged.select("*", F.shiftright(mid, _POS_BITS).alias("_range"),
+    pos = ranged.select("*", F.spark_partition_id().alias("_range"),
                         (mid.bitwiseAND((1 << _POS_BITS) - 1)).alias("_pos"))
-    sizes = pos.groupBy("_range").agg((F.max("_pos") + 1).alias("_n"))
+    # a range of more rows would run over the bits of its positions: fail instead
+    sizes = pos.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_n", F.when(F.col("_n") <= 1 << _POS_BITS, F.col("_n")).otherwise(
+            F.raise_error(F.lit("a range holds more than 2^33 rows; pass a larger n_ranges"))))
     offsets = sizes.select(
         "_range",
         F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(

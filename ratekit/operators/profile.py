@@ -73,8 +73,8 @@ def value_counts(df: DataFrame, column: str, by: str = "key",
         spark = df.sparkSession
         dom = spark.createDataFrame([(v,) for v in domain], [column])
         dom = dom.select(F.col(column).cast(df.schema[column].dataType).alias(column))
-        # the domain is a short literal list, so it is the build side
-        counts = (F.broadcast(dom).join(counts, column, "left")
+        # the counts of a short literal list of values, one row each, are the build side
+        counts = (dom.join(F.broadcast(counts.where(F.col(column).isin(list(domain)))), column, "left")
                   .select(column, F.coalesce("count", F.lit(0)).cast("long").alias("count")))
     if by == "key":
         return counts.orderBy(column)

@@ -15,21 +15,29 @@ Stratified split, per stratum (user) with n rows:
                 the remainder;
   rows of a stratum are taken in hash order: first test, then val.
 
-Nothing here uses a window over a whole stratum: row positions come from a
+Only narrow columns are ranked, never the rows themselves.  The random split
+counts rows by hash prefix and ranks the hashes of the two prefixes that hold
+its cut points; the stratified one ranks (stratum, hash) pairs by a
 range-partitioned global row number, so a stratum holding a third of all
-rows is spread over many tasks.
+rows is spread over many tasks.  Both then label the rows by comparing
+their hash with the cut points.  Row keys are taken to be unique: rows that
+share one fall on the same side of a cut.
 """
 
 from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .ordering import global_row_number
 from .profile import value_counts
 
+#: Hexadecimal digits of the hash by which rows are counted before ranking.
+_PREFIX = 4
+
 
 def as_fraction(x: float | Fraction | str) -> Fraction:
     """Exact rational form of a fraction written in decimal (0.15 → 3/20)."""
@@ -72,19 +80,48 @@ def stratified_split(df: DataFrame, strata: str = "user_id", key: str = "k",
     f_test = as_fraction(test)
     f_val = validation_fraction(test, val, relative_to)
     rows = df.withColumn("_h", seeded_hash(seed, key))
-    pos = global_row_number(rows, [strata, "_h"], out="_rn")
-    per = pos.groupBy(strata).agg(F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    per = per.withColumn("_hs", seeded_hash(seed, strata))
+    pos = global_row_number(rows.select(F.col(strata).alias("_s"), F.col("_h").alias("_hash")),
+                            ["_s", "_hash"], out="_rn")
+    per = pos.groupBy("_s").agg(F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    per = per.withColumn("_hs", seeded_hash(seed, "_s"))
     per = _quota(per, "_n", f_test, "_q_test", "_hs")
     per = per.withColumn("_n_rest", F.col("_n") - F.col("_q_test"))
     per = _quota(per, "_n_rest", f_val, "_q_val", "_hs")
-    per = per.select(strata, "_start", "_q_test", "_q_val")
-    # per-stratum table: grows with the number of strata → AQE chooses the join
-    joined = pos.join(per, strata)
-    p = F.col("_rn") - F.col("_start")
-    label = (F.when(p < F.col("_q_test"), "test")
-             .when(p < F.col("_q_test") + F.col("_q_val"), "val").otherwise("train"))
-    return joined.withColumn(out, label).drop("_h", "_rn", "_start", "_q_test", "_q_val")
+    per = per.select(F.col("_s").alias("_g"), "_start", "_q_test", "_q_val")
+    # per-stratum tables grow with the number of strata → AQE chooses the joins;
+    # a null stratum is a stratum
+    at = F.col("_rn") - F.col("_start")
+    cuts = pos.join(per, F.col("_s").eqNullSafe(F.col("_g"))).groupBy("_g").agg(
+        F.max(F.when(at < F.col("_q_test"), F.col("_hash"))).alias("_test"),
+        F.max(F.when(at < F.col("_q_test") + F.col("_q_val"), F.col("_hash"))).alias("_val"))
+    joined = rows.join(cuts, F.col(strata).eqNullSafe(F.col("_g")))
+    label = (F.when(F.col("_h") <= F.col("_test"), "test")
+             .when(F.col("_h") <= F.col("_val"), "val").otherwise("train"))
+    return joined.withColumn(out, label).drop("_h", "_g", "_test", "_val")
+
+
+def _hash_at(rows: DataFrame, prefixes: DataFrame, ranks: list[int]) -> list[str]:
+    """The hash of rank r (from 1) among ``_h``, for each r; "" for rank 0.
+
+    ``prefixes`` (stored) counts rows by hash prefix, at most 16^4 of them; only
+    the prefixes that hold a wanted rank are ranked row by row.
+    """
+    upto = F.sum("n").over(Window.orderBy("prefix"))  # at most 65,536 rows
+    cum = prefixes.withColumn("upto", upto)
+    found = {}
+    for rank in ranks:
+        if rank:
+            r = cum.where(F.col("upto") >= rank).orderBy("prefix").first()
+            found[rank] = (r["prefix"], rank - (r["upto"] - r["n"]))
+    wanted = sorted({p for p, _ in found.values()})
+    inside = rows.where(F.substring("_h", 1, _PREFIX).isin(wanted)).select(
+        F.substring("_h", 1, _PREFIX).alias("prefix"), "_h")
+    place = F.row_number().over(Window.partitionBy("prefix").orderBy("_h"))
+    hit = F.lit(False)
+    for p, i in found.values():
+        hit = hit | ((F.col("prefix") == p) & (F.col("place") == i))
+    at = {(r["prefix"], r["place"]): r["_h"] for r in inside.withColumn("place", place).where(hit).collect()}
+    return [at[found[r]] if r else "" for r in ranks]
 
 
 def random_split(df: DataFrame, key: str = "k", test: float = 0.1, val: float = 0.1,
@@ -94,17 +131,18 @@ def random_split(df: DataFrame, key: str = "k", test: float = 0.1, val: float =
     f_test = as_fraction(test)
     f_val = validation_fraction(test, val, relative_to)
     rows = df.withColumn("_h", seeded_hash(seed, key))
-    ranked = global_row_number(rows, ["_h"], out="_rn")
-    # count the checkpointed ranking, not the source (which may be a join)
-    n = ranked.agg(F.count(F.lit(1)).alias("_N"))
-    n = n.withColumn("_n_test", F.expr(
-        f"(_N * {f_test.numerator} + {f_test.denominator - 1}) div {f_test.denominator}"))
-    n = n.withColumn("_n_val", F.expr(
-        f"((_N - _n_test) * {f_val.numerator} + {f_val.denominator - 1}) div {f_val.denominator}"))
-    label = (F.when(F.col("_rn") <= F.col("_n_test"), "test")
-             .when(F.col("_rn") <= F.col("_n_test") + F.col("_n_val"), "val").otherwise("train"))
-    return (ranked.crossJoin(F.broadcast(n)).withColumn(out, label)
-            .drop("_h", "_rn", "_N", "_n_test", "_n_val"))
+    prefixes = materialize(rows.groupBy(F.substring("_h", 1, _PREFIX).alias("prefix"))
+                           .agg(F.count(F.lit(1)).alias("n")), "hash-prefixes")
+    n = prefixes.agg(F.sum("n")).first()[0] or 0
+    n_test = _ceil_share(n, f_test)
+    n_val = _ceil_share(n - n_test, f_val)
+    cut_test, cut_val = _hash_at(rows, prefixes, [n_test, n_test + n_val])
+    label = F.when(F.col("_h") <= cut_test, "test").when(F.col("_h") <= cut_val, "val").otherwise("train")
+    return rows.withColumn(out, label).drop("_h")
+
+
+def _ceil_share(n: int, f: Fraction) -> int:
+    return -(-n * f.numerator // f.denominator)
 
 
 # --- class frequencies and weights --------------------------------------------

@@ -446,8 +446,8 @@ SELECT run, epoch, {_r('train_loss', 9)} AS train_loss, {_r('val_loss', 9)} AS v
     q["composite_loss"] = _with(RATINGS, USERS, RSPLIT, hist, EMB) + f"""
 , klt AS (SELECT avg({kl_expr}) AS kl FROM emb)
 SELECT run, epoch, {_r('val_loss', 6)} AS recon_loss, {_r('kl')} AS kl,
-  {_r(f'least(0.1E0, epoch * 0.1E0 / {half}E0)')} AS kl_weight,
-  {_r(f'val_loss + least(0.1E0, epoch * 0.1E0 / {half}E0) * kl')} AS total_loss
+  {_r(f'least(0.1E0, (epoch - 1) * 0.1E0 / {half}E0)')} AS kl_weight,
+  {_r(f'val_loss + least(0.1E0, (epoch - 1) * 0.1E0 / {half}E0) * kl')} AS total_loss
 FROM history CROSS JOIN klt"""
     q["prediction_pairs"] = _with(RATINGS, SCORED) + "SELECT k, actual, prediction FROM scored"
     q["model_metrics"] = _with(RATINGS, RSPLIT, _metric_ctes()) + f"""

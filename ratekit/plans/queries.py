@@ -54,7 +54,7 @@ def users_processed(spark, d) -> DataFrame:
     """zip dropped, age standard-scaled, gender/occupation one-hot."""
     u = TD.users(spark, d).drop("zip_code")
     u = FE.standard_scale(u, ["age"])
-    return FE.one_hot(u, ["gender", "occupation"])
+    return FE.one_hot(u, ["gender", "occupation"], {"gender": TD.GENDERS, "occupation": TD.OCCUPATIONS})
 
 
 def items_processed(spark, d) -> DataFrame:
@@ -467,11 +467,12 @@ def confusion_matrix_wide(spark, d):
 
 @query
 def regression_errors(spark, d):
-    s = TD.scored(spark, d)
-    a = E.regression_errors(s, "actual", "prediction").select(F.lit("scalar").alias("source"), "*")
-    p = probs(spark, d).select("actual", C.expected_rating("probabilities", 5).alias("e"))
-    b = E.regression_errors(p, "actual", "e").select(F.lit("expected_rating").alias("source"), "*")
-    out = a.unionByName(b)
+    # both sources from one scan: each row gives a scalar and an expected rating
+    s = TD.scored(spark, d).withColumn("probabilities", TD.class_probabilities(F.col("prediction")))
+    p = s.select("actual", F.explode(F.array(
+        F.struct(F.lit("scalar").alias("source"), F.col("prediction").alias("p")),
+        F.struct(F.lit("expected_rating").alias("source"), C.expected_rating("probabilities", 5).alias("p")))))
+    out = E.regression_errors(p.select("actual", "col.*"), "actual", "p", by="source")
     return out.select("source", "n", R("mae").alias("mae"), R("mse").alias("mse"),
                       R("rmse").alias("rmse"))
 

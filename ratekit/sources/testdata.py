@@ -30,6 +30,10 @@ PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun",
           "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
+# The code tables of the derived users.
+GENDERS = ["F", "M"]
+OCCUPATIONS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
 GENRES = [f"g_{t.lower()}" for t in PART_TYPES] + ["g_tiny"]
 
 
@@ -37,17 +41,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan that yields fewer input splits than the cluster has
-    task slots (e.g. a file stored as one row group), so the per-row work
-    after it runs in parallel.  Large inputs already split into many tasks
-    and are returned unchanged (no extra shuffle)."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots, key)
-    return df
-
-
 def rating_of(quantity: Column) -> Column:
     """Quantity 1..50 → rating 1..5 in bands of ten."""
     return (F.lit(1) + F.floor((quantity - 1) / 10)).cast("int")
@@ -58,7 +51,6 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_shipdate")
-    li = spread(li, "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     epoch = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
     rating = rating_of(F.col("l_quantity"))
