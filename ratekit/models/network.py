@@ -1,0 +1,335 @@
+"""The rating networks and their data-parallel trainer.
+
+A row is a key, a standardised input x = GMF ‖ u ‖ v ‖ side features and a
+rating y in 1..5.  Four kinds of network read it:
+
+classifier     two branches fused: GMF, and a ReLU tower over u ‖ v ‖ side;
+               softmax over five classes, class-weighted cross-entropy
+regressor      the same branches; 1 + 4·σ(a·s + c) with learnt a and c; MSE
+autoencoder    tanh encoder to a latent mean, tanh decoder, plus a linear
+               residual branch from the input; MSE and a latent-norm penalty
+variational    the same with a sampled latent and an annealed KL term
+
+One epoch is one Spark job.  Weights and Adam moments (some thousand
+numbers, bounded by the layer sizes) are broadcast; every partition takes
+mini-batch steps over its rows with numpy on Arrow batches, rows in an order
+reshuffled each epoch; the partitions' results are averaged, weighted by
+rows, in the JVM.  The driver holds the weights and runs the loop: plateau
+rate, early stop with patience, best epoch by validation loss.  That loss
+has its KL weight fixed at the cap, so epochs compare alike while the
+training weight is annealed from 0.
+
+Order, dropout and sampling noise are hashes of (row key, epoch, seed):
+a partition that is computed again draws the same.
+"""
+
+from __future__ import annotations
+
+import zlib
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+@dataclass
+class NetConfig:
+    kind: str = "regressor"
+    rank: int = 16
+    inputs: int = 48            # size of x
+    tower: tuple = (32, 16)
+    latent: int = 8
+    dropout: float = 0.1
+    epochs: int = 20
+    batch: int = 256
+    lr: float = 0.005
+    weight_decay: float = 1e-5
+    grad_clip: float = 2.0
+    kl_cap: float = 0.1
+    norm_weight: float = 0.001
+    class_weights: tuple = (1.0, 1.0, 1.0, 1.0, 1.0)
+    patience: int = 6
+    plateau_factor: float = 0.5
+    plateau_patience: int = 2
+    plateau_threshold: float = 1e-4
+    seed: int = 42
+
+
+# --- parameters ------------------------------------------------------------------------
+
+def _shapes(cfg: NetConfig) -> dict[str, tuple]:
+    d, (h1, h2), k = cfg.inputs - cfg.rank, cfg.tower, cfg.latent
+    if cfg.kind in ("classifier", "regressor"):
+        out = {"W1": (d, h1), "b1": (h1,), "W2": (h1, h2), "b2": (h2,)}
+        if cfg.kind == "classifier":
+            return out | {"Wo": (cfg.rank + h2, 5), "bo": (5,)}
+        return out | {"wo": (cfg.rank + h2,), "bo": (1,), "a": (1,), "c": (1,)}
+    out = {"W1": (d, h1), "b1": (h1,), "Wm": (h1, k), "bm": (k,), "Wd": (k, h2), "bd": (h2,),
+           "wo": (h2,), "bo": (1,), "wr": (d,)}
+    return out | ({"Wl": (h1, k), "bl": (k,)} if cfg.kind == "variational" else {})
+
+
+def unpack(theta: np.ndarray, cfg: NetConfig) -> dict[str, np.ndarray]:
+    out, at = {}, 0
+    for name, shape in _shapes(cfg).items():
+        size = int(np.prod(shape))
+        out[name] = theta[at:at + size].reshape(shape)
+        at += size
+    return out
+
+
+def pack(parts: dict[str, np.ndarray], cfg: NetConfig) -> np.ndarray:
+    return np.concatenate([np.asarray(parts[n], float).reshape(-1) for n in _shapes(cfg)])
+
+
+def init_params(cfg: NetConfig) -> np.ndarray:
+    rng = np.random.default_rng(cfg.seed)
+    p = {n: rng.normal(0, np.sqrt(1.0 / s[0]), s) if n[0] in "Ww" and n != "wr" else np.zeros(s)
+         for n, s in _shapes(cfg).items()}
+    if cfg.kind == "regressor":
+        p["a"] = np.ones(1)
+    if cfg.kind in ("autoencoder", "variational"):
+        p["bo"] = np.full(1, 3.0)     # middle of the rating scale
+    if cfg.kind == "variational":
+        p["bl"] = np.full(cfg.latent, -2.0)  # a small posterior variance to begin with
+    return pack(p, cfg)
+
+
+# --- keyed noise ------------------------------------------------------------------------
+
+def row_seeds(keys) -> np.ndarray:
+    return np.fromiter((zlib.crc32(str(k).encode()) for k in keys), np.uint64, len(keys))
+
+
+def keyed_uniform(seeds: np.ndarray, width: int, salt: int) -> np.ndarray:
+    """(rows, width) numbers in (0, 1) from row seeds, the column and a salt alone."""
+    column = np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = seeds[:, None] * np.uint64(0xBF58476D1CE4E5B9) + column + np.uint64(salt * 0x94D049BB % 2**63)
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2.0**53 + 2.0**-54
+
+
+def keyed_normal(seeds: np.ndarray, width: int, salt: int) -> np.ndarray:
+    u = keyed_uniform(seeds, 2 * width, salt)
+    return np.sqrt(-2 * np.log(u[:, :width])) * np.cos(2 * np.pi * u[:, width:])
+
+
+# --- one batch -----------------------------------------------------------------------------
+
+def _tower(p, X, cfg, drop):
+    h1 = np.maximum(X[:, cfg.rank:] @ p["W1"] + p["b1"], 0)
+    h1 = h1 if drop is None else h1 * drop
+    h2 = np.maximum(h1 @ p["W2"] + p["b2"], 0)
+    return h1, h2, np.concatenate([X[:, :cfg.rank], h2], axis=1)
+
+
+def _sigmoid(x):
+    return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+
+
+def outputs(theta: np.ndarray, X: np.ndarray, cfg: NetConfig) -> tuple[np.ndarray, np.ndarray]:
+    """(prediction, extra): extra is class probabilities, the latent mean, or empty."""
+    p = unpack(theta, cfg)
+    if cfg.kind in ("classifier", "regressor"):
+        _, _, f = _tower(p, X, cfg, None)
+        if cfg.kind == "regressor":
+            return 1 + 4 * _sigmoid(p["a"] * (f @ p["wo"] + p["bo"]) + p["c"]), np.empty((len(X), 0))
+        z = f @ p["Wo"] + p["bo"]
+        e = np.exp(z - z.max(axis=1, keepdims=True))
+        e /= e.sum(axis=1, keepdims=True)
+        return e @ np.arange(1, 6), e
+    R = X[:, cfg.rank:]
+    m = np.tanh(R @ p["W1"] + p["b1"]) @ p["Wm"] + p["bm"]
+    return np.tanh(m @ p["Wd"] + p["bd"]) @ p["wo"] + p["bo"] + R @ p["wr"], m
+
+
+def loss_and_gradient(theta, X, y, cfg: NetConfig, beta: float, drop=None, eps=None, grad: bool = True):
+    """(loss, reconstruction part, KL part, gradient or None): means over the batch."""
+    p, n, g = unpack(theta, cfg), len(y), {}
+    if cfg.kind in ("classifier", "regressor"):
+        h1, h2, f = _tower(p, X, cfg, drop)
+        if cfg.kind == "classifier":
+            label = y.astype(int) - 1
+            z = f @ p["Wo"] + p["bo"]
+            z = z - z.max(axis=1, keepdims=True)
+            logp = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+            w = np.asarray(cfg.class_weights)[label]
+            loss = float(-(w * logp[np.arange(n), label]).sum() / w.sum())
+            dz = np.exp(logp)
+            dz[np.arange(n), label] -= 1
+            dz *= (w / w.sum())[:, None]
+            g["Wo"], g["bo"], df = f.T @ dz, dz.sum(axis=0), dz @ p["Wo"].T
+        else:
+            s = f @ p["wo"] + p["bo"]
+            q = _sigmoid(p["a"] * s + p["c"])
+            r = 1 + 4 * q - y
+            loss = float(np.mean(r * r))
+            dt = 8 * r * q * (1 - q) / n
+            g["a"], g["c"] = np.array([dt @ s]), np.array([dt.sum()])
+            ds = dt * p["a"]
+            g["wo"], g["bo"], df = f.T @ ds, np.array([ds.sum()]), np.outer(ds, p["wo"])
+        if not grad:
+            return loss, loss, 0.0, None
+        d2 = df[:, cfg.rank:] * (h2 > 0)
+        g["W2"], g["b2"] = h1.T @ d2, d2.sum(axis=0)
+        d1 = d2 @ p["W2"].T * (h1 > 0) * (1 if drop is None else drop)
+        g["W1"], g["b1"] = X[:, cfg.rank:].T @ d1, d1.sum(axis=0)
+        return loss, loss, 0.0, pack(g, cfg)
+    R, sampled = X[:, cfg.rank:], cfg.kind == "variational"
+    h = np.tanh(R @ p["W1"] + p["b1"])
+    m = h @ p["Wm"] + p["bm"]
+    lv = h @ p["Wl"] + p["bl"] if sampled else None
+    spread = np.exp(0.5 * lv) if sampled else None
+    z = m if eps is None else m + eps * spread
+    t = np.tanh(z @ p["Wd"] + p["bd"])
+    r = t @ p["wo"] + p["bo"] + R @ p["wr"] - y
+    recon = float(np.mean(r * r))
+    norm = np.sqrt((m * m).sum(axis=1)) + 1e-12
+    kl = float(np.mean((-0.5 * (1 + lv - m * m - np.exp(lv))).sum(axis=1))) if sampled else 0.0
+    loss = recon + beta * kl if sampled else recon + cfg.norm_weight * float(norm.mean())
+    if not grad:
+        return loss, recon, kl, None
+    dy = 2 * r / n
+    g["wo"], g["bo"], g["wr"] = t.T @ dy, np.array([dy.sum()]), R.T @ dy
+    dt = np.outer(dy, p["wo"]) * (1 - t * t)
+    g["Wd"], g["bd"] = z.T @ dt, dt.sum(axis=0)
+    dz = dt @ p["Wd"].T
+    dm = dz + (beta * m / n if sampled else cfg.norm_weight * m / norm[:, None] / n)
+    dh = dm @ p["Wm"].T
+    g["Wm"], g["bm"] = h.T @ dm, dm.sum(axis=0)
+    if sampled:
+        dl = (0.0 if eps is None else 0.5 * dz * eps * spread) - beta * 0.5 * (1 - np.exp(lv)) / n
+        g["Wl"], g["bl"] = h.T @ dl, dl.sum(axis=0)
+        dh = dh + dl @ p["Wl"].T
+    da = dh * (1 - h * h)
+    g["W1"], g["b1"] = R.T @ da, da.sum(axis=0)
+    return loss, recon, kl, pack(g, cfg)
+
+
+# --- distributed passes ----------------------------------------------------------------------
+
+def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = batch.num_rows
+    x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+    return row_seeds(batch.column("k").to_pylist()), x, batch.column("y").to_numpy(zero_copy_only=False)
+
+
+def _local_epoch(rows, state: np.ndarray, cfg: NetConfig, beta: float, epoch: int, lr: float):
+    """Adam over mini-batches of one partition; (rows, loss sum, new state)."""
+    size = (len(state) - 1) // 3
+    theta, m, v, step = state[:size].copy(), state[size:2 * size].copy(), state[2 * size:-1].copy(), state[-1]
+    n, total = 0, 0.0
+    for seeds, X, y in rows:
+        order = keyed_uniform(seeds, 1, cfg.seed + 7 * epoch)[:, 0].argsort(kind="stable")
+        for at in range(0, len(order), cfg.batch):
+            i = order[at:at + cfg.batch]
+            drop = eps = None
+            if cfg.kind == "variational":
+                eps = keyed_normal(seeds[i], cfg.latent, cfg.seed + 1000 * epoch)
+            elif cfg.kind != "autoencoder" and cfg.dropout > 0:
+                u = keyed_uniform(seeds[i], cfg.tower[0], cfg.seed + 1000 * epoch)
+                drop = (u >= cfg.dropout) / (1 - cfg.dropout)
+            loss, _, _, g = loss_and_gradient(theta, X[i], y[i], cfg, beta, drop, eps)
+            g = g + cfg.weight_decay * theta
+            g *= min(1.0, cfg.grad_clip / (np.linalg.norm(g) + 1e-12))
+            step += 1
+            m = 0.9 * m + 0.1 * g
+            v = 0.999 * v + 0.001 * g * g
+            theta = theta - lr * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+            n, total = n + len(i), total + loss * len(i)
+    return n, total, np.concatenate([theta, m, v, [step]])
+
+
+def _train_epoch(df: DataFrame, state: np.ndarray, cfg: NetConfig, beta: float, epoch: int, lr: float):
+    shared = df.sparkSession.sparkContext.broadcast(state)
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, loss, new = _local_epoch(map(_rows, (b for b in batches if b.num_rows)), shared.value, cfg, beta, epoch, lr)
+        if n:
+            yield pa.RecordBatch.from_pydict({"n": [n], "loss": [loss], "state": [(new * n).tolist()]})
+
+    parts = df.mapInArrow(local, "n long, loss double, state array<double>")
+    row = parts.agg(F.sum("n").alias("n"), F.sum("loss").alias("loss"), vector_to_array(
+        Summarizer.sum(array_to_vector("state"))).alias("state")).first()
+    shared.unpersist()
+    return float(row["loss"]) / row["n"], np.asarray(row["state"]) / row["n"]
+
+
+def _evaluate(df: DataFrame, theta: np.ndarray, cfg: NetConfig) -> tuple[float, float, float]:
+    """(loss with the KL weight at its cap, reconstruction, KL): means over all rows."""
+    shared = df.sparkSession.sparkContext.broadcast(theta)
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(4)
+        for b in batches:
+            if b.num_rows:
+                _, X, y = _rows(b)
+                w = np.asarray(cfg.class_weights)[y.astype(int) - 1].sum() if cfg.kind == "classifier" else len(y)
+                sums += w * np.array([1, *loss_and_gradient(shared.value, X, y, cfg, cfg.kl_cap, grad=False)[:3]])
+        yield pa.RecordBatch.from_pydict({c: [v] for c, v in zip(("w", "loss", "recon", "kl"), sums.tolist())})
+
+    row = df.mapInArrow(local, "w double, loss double, recon double, kl double").agg(
+        *[F.sum(c).alias(c) for c in ("w", "loss", "recon", "kl")]).first()
+    shared.unpersist()
+    w = row["w"] or 1.0
+    return row["loss"] / w, row["recon"] / w, row["kl"] / w
+
+
+HISTORY = ("run string, epoch int, train_loss double, val_loss double, recon_loss double, kl double, "
+           "kl_weight double, lr double")
+
+
+def fit_network(train: DataFrame, val: DataFrame, cfg: NetConfig, run: str) -> tuple[np.ndarray, DataFrame]:
+    """Best weights by validation loss, and the history (one row per epoch).
+
+    ``train`` and ``val`` are stored tables (k, x, y); each epoch reads them once.
+    """
+    theta = init_params(cfg)
+    state = np.concatenate([theta, np.zeros(2 * len(theta) + 1)])
+    lr, best, scheduled, bad, since, history = cfg.lr, np.inf, np.inf, 0, 0, []
+    half = max(1, cfg.epochs // 2)
+    for epoch in range(1, cfg.epochs + 1):
+        beta = min(cfg.kl_cap, (epoch - 1) * cfg.kl_cap / half) if cfg.kind == "variational" else 0.0
+        train_loss, state = _train_epoch(train, state, cfg, beta, epoch, lr)
+        now = state[:len(theta)]
+        loss, recon, kl = _evaluate(val, now, cfg)
+        history.append((run, epoch, train_loss, loss, recon, kl, beta, lr))
+        if loss < best:
+            best, since, theta = loss, 0, now
+        else:
+            since += 1
+            if since >= cfg.patience:
+                break
+        if loss < scheduled * (1 - cfg.plateau_threshold):  # stepped after the early-stop test
+            scheduled, bad = loss, 0
+        else:
+            bad += 1
+        if bad > cfg.plateau_patience:
+            lr, bad = lr * cfg.plateau_factor, 0
+    return theta, train.sparkSession.createDataFrame(history, HISTORY)
+
+
+def apply_network(df: DataFrame, theta: np.ndarray, cfg: NetConfig, x: str = "x") -> DataFrame:
+    """``df`` less ``x``, with ``prediction`` and ``extra`` (probabilities, latent mean, or empty)."""
+    shared = df.sparkSession.sparkContext.broadcast(theta)
+    keep = [c for c in df.columns if c != x]
+    schema = T.StructType([df.schema[c] for c in keep] + [
+        T.StructField("prediction", T.DoubleType()), T.StructField("extra", T.ArrayType(T.DoubleType()))])
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = pdf[keep].copy()
+            X = np.array(pdf[x].tolist(), float).reshape(len(pdf), cfg.inputs)
+            prediction, extra = outputs(shared.value, X, cfg)
+            out["prediction"], out["extra"] = prediction, list(extra)
+            yield out
+
+    return df.mapInPandas(score, schema)

@@ -1,54 +1,52 @@
-"""Rating models as Spark ML jobs: ALS embeddings + a stage-2 head.
-
-The reference's neural models learn one embedding per user and per item and
-feed them (their element-wise product and concatenation, plus side features
-for the hybrid models) to a small network.  Here the two parts are:
-
-stage 1  ``ALS`` learns the user and item factor tables.  It is distributed
-         by design (factor blocks are shuffled between iterations) and its
-         tables grow with the ids, never through the driver.
-stage 2  a Spark ML estimator over the assembled low-dimensional features:
-           ncf_classifier   GMF ‖ u ‖ v → MultilayerPerceptronClassifier (5 classes)
-           ncf_regressor    ALS score ‖ GMF → LinearRegression
-           hybrid_classifier GMF ‖ user ‖ item features → LogisticRegression,
-                            class-weighted (normalised inverse frequency)
-           hybrid_regressor ALS score ‖ GMF ‖ user ‖ item features → LinearRegression
-           autoencoder      u ‖ v ‖ features → StandardScaler → PCA latent,
-                            ALS score ‖ latent → LinearRegression
-         Stage 2 trains on the validation split, which ALS has not seen, so
-         the head does not learn ALS's fit to its own training labels.
-
-Ids are densely encoded (range-partitioned ranking) before ALS, which needs
-integer ids.  Users or items without factors (cold start) get the mean
-factor vector, so no row is ever dropped.
+"""Rating models: ALS embeddings, and a fused network on top.
+
+stage 1  ``ALS`` learns the user and item factor tables; factor blocks are
+         shuffled between iterations and the tables grow with the ids,
+         never through the driver.  All ratings of one id are solved in one
+         block, so a single user or item with a large share of all ratings
+         is one task there; this is ALS's own limit.
+stage 2  a network (`network.py`) over GMF u∘v, u ‖ v and, for the hybrid and
+         autoencoder models, side features: classifier, bounded regressor,
+         autoencoder or variational autoencoder.
+
+The network learns from all training rows.  So that it does not learn
+ALS's fit to its own training labels, a training row's u and v come from
+an ALS fitted without that row's fold; fold factors are turned onto the
+full model's axes by the orthogonal matrix that fits them best (Procrustes
+over the ids both know; it changes no dot product).  The validation split
+serves selection only: best epoch, early stop, learning rate.
+
+Users or items without factors (cold start) get the mean vector, computed
+once at fit and saved with the model, so no row is ever dropped.  A fitted
+model is factor tables by raw id, mean vectors, scaler, weights and
+configuration, and is saved and loaded as one folder.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.ml.classification import (LogisticRegression, LogisticRegressionModel,
-                                       MultilayerPerceptronClassificationModel,
-                                       MultilayerPerceptronClassifier)
-from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.recommendation import ALS
 from pyspark.ml.stat import Summarizer
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import features as FE
 from ..operators import splits as S
 from ..session import materialize
+from . import network as N
 
 KINDS = ("ncf_classifier", "ncf_regressor", "hybrid_classifier", "hybrid_regressor",
-         "autoencoder")
+         "autoencoder", "variational")
 CLASSIFIERS = ("ncf_classifier", "hybrid_classifier")
+_NET = {"ncf_classifier": "classifier", "hybrid_classifier": "classifier", "ncf_regressor": "regressor",
+        "hybrid_regressor": "regressor", "autoencoder": "autoencoder", "variational": "variational"}
+#: ALS takes 32-bit ids: a limit of Spark's implementation.
 INT_MAX = 2**31 - 1
 
 
@@ -58,10 +56,7 @@ class ModelConfig:
     rank: int = 16              # embedding size
     als_iter: int = 10
     als_reg: float = 0.1
-    hidden: tuple = (32, 16)    # MLP tower of the NCF classifier
-    head_iter: int = 100
-    head_reg: float = 0.0
-    latent_dim: int = 8         # autoencoder latent size
+    folds: int = 2              # ALS fits for out-of-fold training features
     seed: int = 42
     split: str = "stratified"   # or "random"
     test: float = 0.1
@@ -71,22 +66,18 @@ class ModelConfig:
     checkpoint_interval: int = 5
     user_features: tuple = ()
     item_features: tuple = ()
-    extra: dict = field(default_factory=dict)
+    net: dict | None = None     # overrides of NetConfig
 
 
-# reference-like defaults per model kind (splits and heads; sizes scaled to Spark ML)
+# split rules per model kind, as published for them
 DEFAULTS = {
-    "ncf_classifier": ModelConfig(kind="ncf_classifier", rank=16, hidden=(32, 16),
-                                  split="stratified", test=0.1, val=0.1, relative_to="total"),
-    "ncf_regressor": ModelConfig(kind="ncf_regressor", rank=16, split="stratified",
-                                 test=0.15, val=0.15, relative_to="total", head_reg=1e-5),
-    "hybrid_classifier": ModelConfig(kind="hybrid_classifier", rank=16, split="random",
-                                     test=0.1, val=0.1, relative_to="remainder",
-                                     class_weighted=True, head_reg=1e-4),
-    "hybrid_regressor": ModelConfig(kind="hybrid_regressor", rank=16, split="random",
-                                    test=0.1, val=0.15, relative_to="remainder", head_reg=1e-4),
-    "autoencoder": ModelConfig(kind="autoencoder", rank=16, latent_dim=8, split="random",
-                               test=0.1, val=0.15, relative_to="remainder", head_reg=1e-5),
+    "ncf_classifier": ModelConfig(kind="ncf_classifier"),
+    "ncf_regressor": ModelConfig(kind="ncf_regressor", test=0.15, val=0.15),
+    "hybrid_classifier": ModelConfig(kind="hybrid_classifier", split="random", relative_to="remainder",
+                                     class_weighted=True),
+    "hybrid_regressor": ModelConfig(kind="hybrid_regressor", split="random", val=0.15, relative_to="remainder"),
+    "autoencoder": ModelConfig(kind="autoencoder", split="random", val=0.15, relative_to="remainder"),
+    "variational": ModelConfig(kind="variational", split="random", val=0.15, relative_to="remainder"),
 }
 
 
@@ -94,199 +85,162 @@ def config_for(kind: str, **overrides) -> ModelConfig:
     return replace(DEFAULTS[kind], **overrides)
 
 
-# --- data preparation ----------------------------------------------------------------
+def split(df: DataFrame, cfg: ModelConfig) -> DataFrame:
+    if cfg.split == "stratified":
+        return S.stratified_split(df, "user_id", "k", cfg.test, cfg.val, cfg.relative_to, cfg.seed)
+    return S.random_split(df, "k", cfg.test, cfg.val, cfg.relative_to, cfg.seed)
 
-@dataclass
-class Encoders:
-    users: DataFrame   # (user_id, user_idx)
-    items: DataFrame   # (item_id, item_idx)
 
+# --- stage 1 ----------------------------------------------------------------------------
 
-def fit_encoders(ratings: DataFrame) -> Encoders:
-    """Fit both id mappings and store them as tables (reused by every join)."""
-    return Encoders(materialize(FE.fit_label_encoder(ratings, "user_id", "user_idx"), "enc_users"),
-                    materialize(FE.fit_label_encoder(ratings, "item_id", "item_idx"), "enc_items"))
+def _int_id(name: str) -> Column:
+    return F.when(F.col(name) <= INT_MAX, F.col(name).cast("int")).otherwise(
+        F.raise_error(F.lit(f"{name} exceeds the int range that ALS supports")))
 
 
-def encode(df: DataFrame, enc: Encoders) -> DataFrame:
-    """Add int user_idx/item_idx (ALS needs int ids; overflow is an error)."""
-    out = df.join(enc.users, "user_id", "left").join(enc.items, "item_id", "left")
-    guard = lambda c: F.when(F.col(c) <= INT_MAX, F.col(c).cast("int")).otherwise(
-        F.raise_error(F.lit(f"{c} exceeds the int range ALS supports")))
-    return out.withColumn("user_idx", guard("user_idx")).withColumn("item_idx", guard("item_idx"))
+def _fit_als(train: DataFrame, users: DataFrame, items: DataFrame, cfg: ModelConfig, name: str):
+    """Stored factor tables (user_id, u) and (item_id, v) from encoded training rows."""
+    als = ALS(rank=cfg.rank, maxIter=cfg.als_iter, regParam=cfg.als_reg, userCol="user_idx", itemCol="item_idx",
+              ratingCol="rating", coldStartStrategy="nan", seed=cfg.seed,
+              checkpointInterval=cfg.checkpoint_interval)
+    model = als.fit(train.select(_int_id("user_idx").alias("user_idx"), _int_id("item_idx").alias("item_idx"),
+                                 F.col("rating").cast("float").alias("rating")))
 
+    def by_id(factors, ids, key, out):
+        vectors = factors.select(F.col("id").cast("long").alias(f"{key}_idx"),
+                                 C.cast_vector("features", size=cfg.rank).alias(out))
+        return materialize(vectors.join(ids, f"{key}_idx").select(f"{key}_id", out), f"{name}-{key}s")
 
-def split(df: DataFrame, cfg: ModelConfig) -> DataFrame:
-    if cfg.split == "stratified":
-        return S.stratified_split(df, "user_id", "k", cfg.test, cfg.val, cfg.relative_to, cfg.seed)
-    return S.random_split(df, "k", cfg.test, cfg.val, cfg.relative_to, cfg.seed)
+    return by_id(model.userFactors, users, "user", "u"), by_id(model.itemFactors, items, "item", "v")
 
 
-# --- stage 1 ----------------------------------------------------------------------------
+def _mean(factors: DataFrame, vector: str, rank: int) -> list[float]:
+    row = factors.select(vector_to_array(Summarizer.mean(array_to_vector(vector)))).first()
+    return [float(x) for x in row[0]] if row[0] else [0.0] * rank
 
-def fit_als(train: DataFrame, cfg: ModelConfig) -> ALSModel:
-    als = ALS(rank=cfg.rank, maxIter=cfg.als_iter, regParam=cfg.als_reg, userCol="user_idx",
-              itemCol="item_idx", ratingCol="rating", nonnegative=False, implicitPrefs=False,
-              coldStartStrategy="nan", seed=cfg.seed,
-              checkpointInterval=cfg.checkpoint_interval)
-    return als.fit(train.select("user_idx", "item_idx", F.col("rating").cast("float")))
 
+def _turn_onto(fold: DataFrame, full: DataFrame, key: str, vector: str, rank: int) -> np.ndarray:
+    """Σ fold ⊗ full over shared ids: a rank × rank matrix, summed in the JVM."""
+    pairs = fold.join(full.withColumnRenamed(vector, "_to"), key)
+    outer = F.flatten(F.transform(vector, lambda a: F.transform("_to", lambda b: a * b)))
+    total = pairs.select(vector_to_array(Summarizer.sum(array_to_vector(outer)))).first()[0]
+    return np.asarray(total).reshape(rank, rank) if total else np.zeros((rank, rank))
 
-def _mean_factor(factors: DataFrame, out: str) -> DataFrame:
-    """One row: the mean factor vector (distributed Summarizer aggregation)."""
-    v = factors.select(array_to_vector("features").alias("_v"))
-    return v.select(vector_to_array(Summarizer.mean(F.col("_v"))).alias(out))
 
+def _rotated(factors: DataFrame, key: str, vector: str, turn: np.ndarray) -> DataFrame:
+    axes = F.array(*[F.lit([float(x) for x in turn[:, j]]) for j in range(turn.shape[1])])
+    dot = lambda axis: F.aggregate(F.zip_with(vector, axis, lambda a, b: a * b), F.lit(0.0),
+                                   lambda s, x: s + x)
+    return materialize(factors.select(key, F.transform(axes, dot).alias(vector)), f"turned-{key}")
 
-def with_factors(df: DataFrame, als: ALSModel) -> DataFrame:
-    """Add u, v (ARRAY<DOUBLE>) and als_score = u·v; cold ids get the mean factor.
 
-    Factor tables grow with the number of ids, so their joins are left to
-    AQE; the mean vectors are one-row tables (bounded broadcast).
-    """
-    uf = als.userFactors.select(F.col("id").alias("user_idx"),
-                                C.cast_vector("features", size=als.rank).alias("_u"))
-    itf = als.itemFactors.select(F.col("id").alias("item_idx"),
-                                 C.cast_vector("features", size=als.rank).alias("_v"))
-    mu = _mean_factor(als.userFactors, "_mu")
-    mv = _mean_factor(als.itemFactors, "_mv")
-    out = (df.join(uf, "user_idx", "left").join(itf, "item_idx", "left")
-           .crossJoin(F.broadcast(mu)).crossJoin(F.broadcast(mv))
-           .withColumn("u", F.coalesce("_u", "_mu")).withColumn("v", F.coalesce("_v", "_mv"))
-           .drop("_u", "_v", "_mu", "_mv"))
-    return out.withColumn("als_score", C.dot("u", "v", als.rank))
+@dataclass
+class Factors:
+    """Factor tables by raw id, and the vectors of ids they do not know."""
+    users: DataFrame
+    items: DataFrame
+    mean_u: list[float]
+    mean_v: list[float]
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        """Add u, v and als_score.  The tables grow with the ids: AQE picks the joins."""
+        lit = lambda v: F.array(*[F.lit(x) for x in v])
+        out = df.join(self.users, "user_id", "left").join(self.items, "item_id", "left")
+        out = out.withColumn("u", F.coalesce("u", lit(self.mean_u))).withColumn("v", F.coalesce("v", lit(self.mean_v)))
+        return out.withColumn("als_score", C.dot("u", "v", len(self.mean_u)))
+
+
+def fit_factors(train: DataFrame, cfg: ModelConfig) -> tuple[Factors, list[Factors]]:
+    """Factors from all training rows, and for each fold those fitted without it, on the same axes."""
+    users = materialize(FE.fit_label_encoder(train, "user_id", "user_idx"), "user-index")
+    items = materialize(FE.fit_label_encoder(train, "item_id", "item_idx"), "item-index")
+    encoded = materialize(train.join(users, "user_id").join(items, "item_id").select(
+        "user_idx", "item_idx", "rating", "fold"), "encoded-ratings")
+    u, v = _fit_als(encoded, users, items, cfg, "factors")
+    full = Factors(u, v, _mean(u, "u", cfg.rank), _mean(v, "v", cfg.rank))
+    folds = []
+    for f in range(cfg.folds):
+        fu, fv = _fit_als(encoded.where(F.col("fold") != f), users, items, cfg, f"factors-{f}")
+        left, _, right = np.linalg.svd(_turn_onto(fu, u, "user_id", "u", cfg.rank)
+                                       + _turn_onto(fv, v, "item_id", "v", cfg.rank))
+        folds.append(Factors(_rotated(fu, "user_id", "u", left @ right), _rotated(fv, "item_id", "v", left @ right),
+                             full.mean_u, full.mean_v))
+    return full, folds
 
 
 # --- stage 2 ------------------------------------------------------------------------------
 
-def _side(cfg: ModelConfig) -> list:
-    return [F.col(f"`{c}`").cast("double") for c in (*cfg.user_features, *cfg.item_features)]
+def raw_input(df: DataFrame, cfg: ModelConfig) -> DataFrame:
+    """Add ``raw`` = GMF ‖ u ‖ v ‖ side features."""
+    side = [F.col(f"`{c}`").cast("double") for c in (*cfg.user_features, *cfg.item_features)]
+    parts = [C.hadamard("u", "v", cfg.rank), F.col("u"), F.col("v")] + ([F.array(*side)] if side else [])
+    return df.withColumn("raw", F.concat(*parts))
+
+
+def _scaler(df: DataFrame) -> tuple[list[float], list[float]]:
+    """Mean and spread of each input, one row of sums; a constant input is only centred."""
+    row = df.select(Summarizer.metrics("mean", "std").summary(array_to_vector("raw")).alias("s")).select(
+        vector_to_array("s.mean").alias("m"), vector_to_array("s.std").alias("s")).first()
+    return [float(x) for x in row["m"]], [float(x) if x > 1e-12 else 1.0 for x in row["s"]]
 
 
-def assemble_features(df: DataFrame, cfg: ModelConfig) -> DataFrame:
-    gmf = C.hadamard("u", "v", cfg.rank)
-    side = F.array(*_side(cfg)) if _side(cfg) else F.array().cast("array<double>")
-    if cfg.kind == "ncf_classifier":
-        arr = C.concat_vectors(gmf, "u", "v")
-    elif cfg.kind == "ncf_regressor":
-        arr = C.concat_vectors(F.array("als_score"), gmf)
-    elif cfg.kind == "hybrid_classifier":
-        arr = C.concat_vectors(gmf, side)
-    elif cfg.kind == "hybrid_regressor":
-        arr = C.concat_vectors(F.array("als_score"), gmf, side)
-    elif cfg.kind == "autoencoder":
-        arr = C.concat_vectors("u", "v", side)
-    else:
-        raise ValueError(cfg.kind)
-    return df.withColumn("features", array_to_vector(arr))
+def _scaled(df: DataFrame, mean: list[float], std: list[float]) -> DataFrame:
+    centre, spread = F.lit(mean), F.lit(std)
+    z = F.transform("raw", lambda x, i: (x - F.get(centre, i)) / F.get(spread, i))
+    return df.withColumn("x", z).drop("raw")
 
 
 @dataclass
 class RatingModel:
     cfg: ModelConfig
-    encoders: Encoders
-    als: ALSModel
-    head: object
-    scaler: StandardScalerModel | None = None
-    pca: PCAModel | None = None
+    factors: Factors
+    mean: list[float]
+    std: list[float]
+    net: N.NetConfig
+    theta: np.ndarray
 
     # --- O-82 batch scoring -------------------------------------------------------
     def transform(self, df: DataFrame) -> DataFrame:
         """Score rows holding user_id, item_id (and side features for hybrids).
 
-        Adds ``prediction`` (expected rating for classifiers, raw score for
-        regressors), ``predicted`` (class 1..5) and, for classifiers,
-        ``probabilities``.
+        Adds ``prediction`` (expected rating for classifiers, the rating
+        otherwise), ``predicted`` (class 1..5) and, for classifiers,
+        ``probabilities``; the autoencoders also add ``latent``.
         """
-        x = with_factors(encode(df, self.encoders), self.als)
-        x = assemble_features(x, self.cfg)
-        if self.cfg.kind == "autoencoder":
-            x = self.pca.transform(self.scaler.transform(x.withColumnRenamed("features", "raw")))
-            x = x.withColumn("features", array_to_vector(C.concat_vectors(
-                F.array("als_score"), vector_to_array("latent"))))
-        out = self.head.transform(x)
+        x = _scaled(raw_input(self.factors.attach(df), self.cfg), self.mean, self.std).drop("u", "v")
+        out = N.apply_network(x, self.theta, self.net)
         if self.cfg.kind in CLASSIFIERS:
-            p = vector_to_array("probability")
-            out = (out.withColumn("probabilities", p)
-                   .withColumn("predicted", C.class_to_rating(C.argmax_class(p)))
-                   .withColumn("prediction", C.expected_rating(p, 5)))
-        else:
-            out = out.withColumn("predicted", C.round_clip_rating("prediction"))
-        return out
+            return (out.withColumnRenamed("extra", "probabilities")
+                    .withColumn("predicted", C.class_to_rating(C.argmax_class(F.col("probabilities")))))
+        out = out.withColumn("predicted", C.round_clip_rating("prediction"))
+        return out.withColumnRenamed("extra", "latent") if "encod" in self.cfg.kind or \
+            self.cfg.kind == "variational" else out.drop("extra")
 
     def latent(self, df: DataFrame) -> DataFrame:
-        """O-83: (user_id, item_id, rating, latent ARRAY<DOUBLE>) of the autoencoder."""
-        if self.pca is None:
-            raise ValueError("latent vectors exist for the autoencoder only")
-        x = assemble_features(with_factors(encode(df, self.encoders), self.als), self.cfg)
-        x = self.pca.transform(self.scaler.transform(x.withColumnRenamed("features", "raw")))
-        return x.select("user_id", "item_id", "rating", vector_to_array("latent").alias("latent"))
+        """O-83: (user_id, item_id, rating, latent ARRAY<DOUBLE>) of an autoencoder."""
+        if self.net.kind not in ("autoencoder", "variational"):
+            raise ValueError("latent vectors exist for the autoencoders only")
+        return self.transform(df).select("user_id", "item_id", "rating", "latent")
 
     # --- O-06 save / load ------------------------------------------------------------
     def save(self, path: str) -> None:
-        self.als.write().overwrite().save(os.path.join(path, "als"))
-        self.head.write().overwrite().save(os.path.join(path, "head"))
-        if self.scaler is not None:
-            self.scaler.write().overwrite().save(os.path.join(path, "scaler"))
-            self.pca.write().overwrite().save(os.path.join(path, "pca"))
-        self.encoders.users.write.mode("overwrite").parquet(os.path.join(path, "enc_users"))
-        self.encoders.items.write.mode("overwrite").parquet(os.path.join(path, "enc_items"))
-        spark = self.encoders.users.sparkSession
-        spark.createDataFrame([(json.dumps(asdict(self.cfg)),)], ["cfg"]).write.mode(
-            "overwrite").json(os.path.join(path, "config"))
+        """One folder: factor tables, and one row with everything of bounded size."""
+        self.factors.users.write.mode("overwrite").parquet(os.path.join(path, "users"))
+        self.factors.items.write.mode("overwrite").parquet(os.path.join(path, "items"))
+        row = {"cfg": asdict(self.cfg), "net": asdict(self.net), "mean": self.mean, "std": self.std,
+               "mean_u": self.factors.mean_u, "mean_v": self.factors.mean_v, "theta": self.theta.tolist()}
+        spark = self.factors.users.sparkSession
+        spark.createDataFrame([(json.dumps(row),)], "model string").write.mode("overwrite").parquet(
+            os.path.join(path, "model"))
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> "RatingModel":
-        raw = json.loads(spark.read.json(os.path.join(path, "config")).first()["cfg"])
-        cfg = ModelConfig(**{k: tuple(v) if isinstance(v, list) else v for k, v in raw.items()})
-        head_cls = {"ncf_classifier": MultilayerPerceptronClassificationModel,
-                    "hybrid_classifier": LogisticRegressionModel}.get(cfg.kind,
-                                                                      LinearRegressionModel)
-        enc = Encoders(spark.read.parquet(os.path.join(path, "enc_users")),
-                       spark.read.parquet(os.path.join(path, "enc_items")))
-        scaler = pca = None
-        if cfg.kind == "autoencoder":
-            scaler = StandardScalerModel.load(os.path.join(path, "scaler"))
-            pca = PCAModel.load(os.path.join(path, "pca"))
-        return RatingModel(cfg, enc, ALSModel.load(os.path.join(path, "als")),
-                           head_cls.load(os.path.join(path, "head")), scaler, pca)
-
-
-def _class_weights(df: DataFrame) -> DataFrame:
-    w = S.inverse_frequency_weights(df, "rating").select("rating", F.col("weight").alias("w"))
-    return df.join(F.broadcast(w), "rating", "left")  # ≤ 5 rows
-
-
-def fit_head(stage2: DataFrame, stage1: DataFrame, cfg: ModelConfig):
-    """Fit the stage-2 estimator; returns (head, scaler, pca)."""
-    scaler = pca = None
-    if cfg.kind == "ncf_classifier":
-        n_in = 3 * cfg.rank
-        est = MultilayerPerceptronClassifier(layers=[n_in, *cfg.hidden, 5], maxIter=cfg.head_iter,
-                                             seed=cfg.seed, labelCol="label")
-        head = est.fit(stage2.withColumn("label", C.rating_to_class("rating").cast("double")))
-    elif cfg.kind == "hybrid_classifier":
-        data = stage2.withColumn("label", C.rating_to_class("rating").cast("double"))
-        est = LogisticRegression(maxIter=cfg.head_iter, regParam=cfg.head_reg, family="multinomial",
-                                 labelCol="label")
-        if cfg.class_weighted:
-            data = _class_weights(data)
-            est = est.setWeightCol("w")
-        head = est.fit(data)
-    elif cfg.kind == "autoencoder":
-        scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True,
-                                withStd=True).fit(stage1.withColumnRenamed("features", "raw"))
-        pca = PCA(k=cfg.latent_dim, inputCol="scaled", outputCol="latent").fit(
-            scaler.transform(stage1.withColumnRenamed("features", "raw")))
-        x = pca.transform(scaler.transform(stage2.withColumnRenamed("features", "raw")))
-        x = x.withColumn("features", array_to_vector(C.concat_vectors(
-            F.array("als_score"), vector_to_array("latent"))))
-        head = LinearRegression(maxIter=cfg.head_iter, regParam=cfg.head_reg,
-                                labelCol="rating").fit(x.withColumn("rating", F.col("rating").cast("double")))
-    else:
-        head = LinearRegression(maxIter=cfg.head_iter, regParam=cfg.head_reg, labelCol="rating").fit(
-            stage2.withColumn("rating", F.col("rating").cast("double")))
-    return head, scaler, pca
+    def load(spark: SparkSession, path: str) -> RatingModel:
+        row = json.loads(spark.read.parquet(os.path.join(path, "model")).first()["model"])
+        plain = lambda d: {k: tuple(v) if isinstance(v, list) else v for k, v in d.items()}
+        factors = Factors(spark.read.parquet(os.path.join(path, "users")),
+                          spark.read.parquet(os.path.join(path, "items")), row["mean_u"], row["mean_v"])
+        return RatingModel(ModelConfig(**plain(row["cfg"])), factors, row["mean"], row["std"],
+                           N.NetConfig(**plain(row["net"])), np.asarray(row["theta"]))
 
 
 # --- O-84 train, select, evaluate ------------------------------------------------------
@@ -297,45 +251,39 @@ class FitResult:
     splits: DataFrame
     scored_test: DataFrame
     history: DataFrame
+    train_mean: float
 
 
-def fit(ratings: DataFrame, cfg: ModelConfig, side: DataFrame | None = None) -> FitResult:
-    """Split, fit ALS on train, fit the head on validation, score the test split.
+def fit(ratings: DataFrame, cfg: ModelConfig) -> FitResult:
+    """Split, fit factors and network on train, select on validation, score the test split.
 
-    ``ratings`` holds (k, user_id, item_id, rating); ``side`` optionally the
-    feature matrix columns keyed by ``k`` for the hybrid and autoencoder
-    models.
+    ``ratings`` holds (k, user_id, item_id, rating) and the side features.
+    The split is decided on narrow columns; what is reused is stored.
     """
-    enc = fit_encoders(ratings)
-    base = ratings if side is None else ratings.join(side, "k", "left")
-    sp = split(base, cfg)
-    sp = encode(sp, enc).persist()
-    train = sp.where("split = 'train'")
-    als = fit_als(train, cfg)
-    # Iterative heads (L-BFGS, PCA) pass over their input many times: keep the
-    # joined, assembled rows instead of re-running the factor joins each pass.
-    stage1 = None
-    if cfg.kind == "autoencoder":
-        stage1 = assemble_features(with_factors(train, als), cfg).persist(StorageLevel.MEMORY_AND_DISK)
-    stage2 = assemble_features(with_factors(sp.where("split = 'val'"), als), cfg).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    head, scaler, pca = fit_head(stage2, stage1, cfg)
-    stage2.unpersist()
-    if stage1 is not None:
-        stage1.unpersist()
-    model = RatingModel(cfg, enc, als, head, scaler, pca)
-    test = sp.where("split = 'test'").drop("user_idx", "item_idx")
-    scored = model.transform(test)
-    hist = _objective_history(head, cfg.kind)
-    return FitResult(model, sp, scored, hist)
-
-
-def _objective_history(head, run: str) -> DataFrame | None:
-    """(run, epoch, train_loss) from the head's optimiser trace, when exposed."""
-    try:
-        trace = list(head.summary.objectiveHistory)
-    except Exception:  # some heads expose no summary
-        return None
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame([(run, i + 1, float(v)) for i, v in enumerate(trace)],
-                                 "run string, epoch int, train_loss double")
+    fold = F.floor(C.hash_uniform(F.col("k"), F.lit(f"fold{cfg.seed}")) * cfg.folds).cast("int")
+    rows = materialize(split(ratings, cfg).withColumn("fold", fold), "split-ratings")
+    train = rows.where("split = 'train'")
+    full, folds = fit_factors(train, cfg)
+
+    parts = [f.attach(train.where(F.col("fold") == i)) for i, f in enumerate(folds)]
+    known = parts[0]
+    for p in parts[1:]:
+        known = known.unionByName(p)
+    known = materialize(raw_input(known, cfg).select("k", "raw", F.col("rating").cast("double").alias("y")), "inputs")
+    mean, std = _scaler(known)
+    check = raw_input(full.attach(rows.where("split = 'val'")), cfg).select(
+        "k", "raw", F.col("rating").cast("double").alias("y"))
+    stored = [materialize(_scaled(df, mean, std).select("k", "x", "y"), name)
+              for df, name in ((known, "train-inputs"), (check, "val-inputs"))]
+
+    weights = (1.0,) * 5
+    if cfg.class_weighted:
+        w = {r["rating"]: r["weight"] for r in S.inverse_frequency_weights(train, "rating").collect()}  # ≤ 5 rows
+        weights = tuple(float(w.get(c, 1.0)) for c in range(1, 6))
+    net = N.NetConfig(**{"kind": _NET[cfg.kind], "rank": cfg.rank, "inputs": len(mean), "class_weights": weights,
+                         "seed": cfg.seed, **(cfg.net or {})})
+    theta, history = N.fit_network(*stored, net, cfg.kind)
+    model = RatingModel(cfg, full, mean, std, net, theta)
+    average = stored[0].agg(F.avg("y")).first()[0]
+    return FitResult(model, rows.drop("fold"), model.transform(rows.where("split = 'test'").drop("fold")),
+                     history, average)

@@ -528,4 +528,46 @@ history AS (SELECT hm.run, epoch,
   FROM hm LEFT JOIN hv ON hm.run IS NOT DISTINCT FROM hv.run)"""
 
 
-ORACLE_SQL = _queries()
+PLANTED = """ratings AS (
+  SELECT o_custkey AS user_id, l_partkey AS item_id,
+    CAST(least(5, greatest(1, floor((2 * ((o_custkey * 7919) % 11 - 5) + 2 * ((l_partkey * 104729) % 11 - 5)
+      + 2 * (o_custkey % 7 - 3) * (l_partkey % 5 - 2)
+      + (l_orderkey * 31 + l_partkey * 17 + l_linenumber * 13) % 5 - 2 + 84) / 8) - 7)) AS INTEGER) AS rating,
+    md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
+        CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR),
+        CAST(CAST(l_quantity AS INTEGER) AS VARCHAR),
+        CAST(CAST(epoch(l_shipdate) AS BIGINT) AS VARCHAR))) AS k
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+def _model_queries() -> dict[str, str]:
+    """Rows that the fitted models must give: which test rows are scored, and the bounds they keep."""
+    splits = {
+        "ncf_classifier": stratified_split_ctes(0.1, 0.1, "total", P.SEED, name="sp"),
+        "ncf_regressor": stratified_split_ctes(0.15, 0.15, "total", P.SEED, name="sp"),
+        "hybrid_classifier": random_split_ctes(0.1, 0.1, "remainder", P.SEED, name="sp"),
+        "hybrid_regressor": random_split_ctes(0.1, 0.15, "remainder", P.SEED, name="sp"),
+        "autoencoder": random_split_ctes(0.1, 0.15, "remainder", P.SEED, name="sp"),
+        "variational": random_split_ctes(0.1, 0.15, "remainder", P.SEED, name="sp")}
+    q = {}
+    for kind, split in splits.items():
+        name = "vae_scores" if kind == "variational" else f"{kind}_scores"
+        q[name] = _with(PLANTED, split) + """
+SELECT k, user_id, item_id, rating AS actual, true AS scored, true AS in_range, true AS learns
+FROM sp WHERE split = 'test'"""
+    q["autoencoder_latent"] = _with(PLANTED, splits["autoencoder"]) + """
+SELECT user_id, item_id, rating, 8 AS latent_size, true AS finite FROM sp WHERE split = 'test'"""
+    q["model_roundtrip"] = _with(PLANTED, splits["ncf_regressor"]) + """
+SELECT count(*) AS scored, count(*) AS equal FROM sp WHERE split = 'test'"""
+    models = ", ".join(f"('{m}')" for m in splits)
+    q["model_test_metrics"] = f"""
+SELECT model, metric, class, true AS within_bound FROM (VALUES {models}) m(model),
+  (SELECT 'accuracy' AS metric, NULL::INTEGER AS class UNION ALL SELECT 'mae', NULL
+   UNION ALL SELECT 'auc', unnest(range(1, 6))::INTEGER) x"""
+    q["vae_training_history"] = """
+SELECT 'variational' AS run, 0E0 AS first_kl_weight, true AS best_after_first, true AS reconstructs_better"""
+    q["latent_pca"] = "SELECT vec_id, label, true AS projected, true AS in_order FROM embeddings"
+    return q
+
+
+ORACLE_SQL = _queries() | _model_queries()

@@ -46,6 +46,15 @@ def rating_of(quantity: Column) -> Column:
     return (F.lit(1) + F.floor((quantity - 1) / 10)).cast("int")
 
 
+def row_key(epoch: Column) -> Column:
+    """md5 over the columns of a line: unique, and a stable pseudo-random order."""
+    return F.md5(F.concat_ws(
+        "|",
+        F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
+        F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
+        F.col("l_quantity").cast("int").cast("string"), epoch.cast("string")))
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, item_id, rating, ts, k, pred) – one row per lineitem."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -54,11 +63,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     epoch = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
     rating = rating_of(F.col("l_quantity"))
-    key = F.md5(F.concat_ws(
-        "|",
-        F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
-        F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
-        F.col("l_quantity").cast("int").cast("string"), epoch.cast("string")))
+    key = row_key(epoch)
     noise = (((F.col("l_orderkey") * 31 + F.col("l_partkey") * 17) % 1001) - 500) / F.lit(250.0)
     return (
         li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -73,6 +78,26 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, user_id, item_id, rating): the same rows with ratings that can be learnt.
+
+    A user effect, an item effect, their product of two residues and a small
+    noise from the order and line keys, in integer arithmetic: the sum is cut
+    into steps of 8 around 3 and clipped to 1..5.
+    """
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    user, item = F.col("o_custkey"), F.col("l_partkey")
+    signal = (2 * ((user * 7919) % 11 - 5) + 2 * ((item * 104729) % 11 - 5)
+              + 2 * (user % 7 - 3) * (item % 5 - 2)
+              + (F.col("l_orderkey") * 31 + item * 17 + F.col("l_linenumber") * 13) % 5 - 2)
+    rating = F.least(F.lit(5), F.greatest(F.lit(1), F.floor((signal + 4 + 80) / 8) - 10 + 3)).cast("int")
+    epoch = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
+    return li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        row_key(epoch).alias("k"), user.alias("user_id"), item.alias("item_id"), rating.alias("rating"))
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, age, gender, occupation, zip_code) from customers."""
     c = table(spark, sf_dir, "customer")
