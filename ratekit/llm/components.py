@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -56,58 +56,134 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> Data
     return rows.join(broadcast_if_small(at, 48), node, "left").withColumn(label, F.coalesce(label, node))
 
 
-def link_buckets(buckets: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
-                 likely: Callable[[str, str], Column], carried: list[str]) -> DataFrame:
-    """Components of the verified links between members of shared buckets.
+class _Links:
+    """Verified links so far, the pairs that were compared, and the components they make."""
 
-    ``buckets`` is a stored table (bucket, id, and the ``carried`` columns
-    of the id that ``likely`` reads).  ``verifier`` gets the stored ids that
-    share a bucket and returns ``verify``, which keeps the true links of a
-    table of pairs (a, b).  Not all pairs of a bucket are made: links are
-    needed only between ids not connected yet.
+    def __init__(self, sets: DataFrame, threshold_pct: int):
+        self.sets, self.threshold = sets, threshold_pct
+        self.links: DataFrame | None = None
+        self.tested: DataFrame | None = None
+        self.labels: DataFrame | None = None
 
-    1. each id against one hub, the least id met in any of its buckets;
-    2. ids not connected to the hub of some bucket they are in, against it;
-    3. in buckets that still hold several components, every member outside
-       the hub's component against all members of other components, first
-       by ``likely(a_prefix, b_prefix)``, then by ``verify``.
+    def _similar(self, pairs: DataFrame) -> DataFrame:
+        left = self.sets.select(F.col("id").alias("a"), F.col("s").alias("a_set"))
+        right = self.sets.select(F.col("id").alias("b"), F.col("s").alias("b_set"))
+        shared = F.size(F.array_intersect("a_set", "b_set"))
+        union = F.size("a_set") + F.size("b_set") - shared
+        return pairs.join(left, "a").join(right, "b").where(
+            100 * shared >= self.threshold * union).select("a", "b").distinct()
 
-    After step 3 every pair of a bucket is connected, was verified and
-    refused, or was refused by ``likely``; so no link is lost and nothing
-    is capped.  Returns a stored table (node, component).
+    def compare(self, pairs: DataFrame) -> None:
+        """Compare the full sets of pairs (a > b) that were not compared yet; join up what is similar."""
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        if self.tested is not None and pairs.isEmpty():
+            return
+        found = materialize(self._similar(pairs), "links")
+        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
+        self.links = found if self.links is None else self.links.unionByName(found)
+        self.labels = materialize(connected_components(self.links), "labels")
+
+
+def _ordered(x: str, y: str) -> list[Column]:
+    return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
+
+
+def _bound(threshold_pct: int, a: str, b: str) -> Column:
+    """Whether sizes n and own elements u (met in no other set) leave room for the threshold."""
+    most = F.least(F.col(f"{a}n") - F.col(f"{a}u"), F.col(f"{b}n") - F.col(f"{b}u"))
+    return 100 * most >= threshold_pct * (F.col(f"{a}n") + F.col(f"{b}n") - most)
+
+
+def _places_bound(threshold_pct: int) -> Column:
+    """Whether the first shared element, at these places, leaves enough elements behind it.
+
+    A pair that is similar passes at its first shared element; it may fail
+    at later ones, which only repeat it.
+    """
+    most = 1 + F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
+    return (100 + threshold_pct) * most >= threshold_pct * (F.col("a_n") + F.col("b_n"))
+
+
+def _prefixes(sets: DataFrame, threshold_pct: int) -> tuple[DataFrame, DataFrame]:
+    """Stored tables (id, n, u) and (id, x, at): sizes, own elements, and prefixes with places.
+
+    With all elements in one order, the rarest first, two similar sets of
+    sizes n share an element among their first n - ceil(threshold n) + 1.
+    """
+    each = sets.select("id", F.size("s").alias("n"), F.explode("s").alias("x"))
+    counts = each.groupBy("x").agg(F.count("*").alias("df"))
+    within = Window.partitionBy("id").orderBy("df", "x")  # a window per set: bounded by its size
+    ranked = each.join(counts, "x").withColumn("at", F.row_number().over(within))
+    upto = F.col("n") - F.ceil(F.col("n") * F.lit(threshold_pct) / 100) + 1
+    rare = materialize(ranked.where((F.col("at") <= upto) | (F.col("df") == 1)).select("id", "n", "df", "x", "at"),
+                       "rare-elements")
+    sizes = rare.groupBy("id").agg(F.max("n").alias("n"), F.sum((F.col("df") == 1).cast("int")).alias("u"))
+    return materialize(sizes, "set-sizes"), rare.where((F.col("df") > 1) & (F.col("at") <= upto)).select("id", "x", "at")
+
+
+def link_buckets(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold_pct: int) -> DataFrame:
+    """Components of ids whose sets are similar and that share a bucket or are linked through others.
+
+    ``buckets`` is (bucket, id); ``sets_of`` gets the stored ids that share a
+    bucket with others and returns their sets, a stored table (id, s) with
+    s an array of distinct 64-bit elements.  Links are pairs whose Jaccard similarity,
+    counted on the full sets, reaches the threshold.  Not all pairs of a
+    bucket are compared, for only links between components matter:
+
+    1. each id with one hub, the least id met in any of its buckets;
+    2. ids not connected to the hub of some bucket they are in, with it;
+    3. in buckets that still hold several components, each id with the
+       bucket's most central member, the one with the least share of
+       elements that no other set has;
+    4. ids still apart from a hub, with all that an exact filter leaves:
+       sets of another component which share one of the rarest elements
+       (`_prefixes`) and whose sizes and own elements leave room.
+
+    After step 4 every pair of a bucket is connected, was compared, or
+    cannot be similar, so no link is lost and nothing is capped.  Returns
+    a stored table (node, component).
     """
-    hubs = materialize(buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("top"))
-                       .where("hub < top").select("bucket", "hub"), "hubs")
-    shared = materialize(buckets.join(broadcast_if_small(hubs, 56), "bucket"), "shared-buckets")
-
-    verify = verifier(materialize(shared.select("id").distinct(), "shared-ids"))
-
-    first = materialize(shared.groupBy("id").agg(F.min("hub").alias("hub")).where("hub < id")
-                        .select(F.col("id").alias("a"), F.col("hub").alias("b")), "hub-pairs")
-    links = materialize(verify(first), "links")
-    labels = materialize(connected_components(links), "labels")
-
-    star = _labelled(_labelled(shared.select("id", "hub"), labels, "id", "x"), labels, "hub", "y")
-    second = materialize(star.where("x <> y").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-                         .join(first, ["a", "b"], "left_anti"), "more-hub-pairs")
-    if not second.isEmpty():
-        links = materialize(links.unionByName(verify(second)), "links")
-        labels = materialize(connected_components(links), "labels")
-
-    members = _labelled(_labelled(shared, labels, "id", "label"), labels, "hub", "hub_label")
-    outside = materialize(members.where("label <> hub_label"), "outsiders")
-    if outside.isEmpty():
-        return labels
-    mixed = materialize(outside.select("bucket").distinct(), "mixed-buckets")
-    around = materialize(members.join(broadcast_if_small(mixed, 40), "bucket", "left_semi").where("id <> hub"),
-                         "mixed-members")
-    a = outside.select("bucket", *[F.col(c).alias(f"a_{c}") for c in ["id", "label", *carried]])
-    b = around.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ["id", "label", "hub_label", *carried]])
-    ordered = (F.col("b_label") == F.col("b_hub_label")) | (F.col("a_id") < F.col("b_id"))
-    rest = a.join(b, "bucket").where((F.col("a_label") != F.col("b_label")) & ordered & likely("a_", "b_"))
-    pairs = rest.select(F.greatest("a_id", "b_id").alias("a"), F.least("a_id", "b_id").alias("b")).distinct()
-    tested = first.unionByName(second)
-    third = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "remaining-pairs")
-    if third.isEmpty():
-        return labels
-    return materialize(connected_components(links.unionByName(verify(third))), "labels")
+    hubs = materialize(buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("top"),
+                                                     F.count("*").alias("size"))
+                       .where("hub < top").select("bucket", "hub", "size"), "hubs")
+    shared = materialize(buckets.join(broadcast_if_small(hubs, 64), "bucket"), "shared-buckets")
+    found = _Links(sets_of(materialize(shared.select("id").distinct(), "shared-ids")), threshold_pct)
+
+    found.compare(shared.groupBy("id").agg(F.min("hub").alias("hub")).where("hub < id")
+                  .select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    star = _labelled(_labelled(shared.select("id", "hub"), found.labels, "id", "x"), found.labels, "hub", "y")
+    found.compare(star.where("x <> y").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
+
+    members = _labelled(_labelled(shared, found.labels, "id", "label"), found.labels, "hub", "hub_label")
+    # a bucket of two has had its one pair compared
+    mixed = materialize(members.where("label <> hub_label AND size > 2").select("bucket").distinct(), "mixed-buckets")
+    if mixed.isEmpty():
+        return found.labels
+    around = materialize(shared.join(broadcast_if_small(mixed, 40), "bucket", "left_semi"), "mixed-members")
+    ids = materialize(around.select("id").distinct(), "mixed-ids")
+    sizes, prefixes = _prefixes(found.sets.join(broadcast_if_small(ids, 40), "id", "left_semi"), threshold_pct)
+
+    sized = around.select("bucket", "id").join(broadcast_if_small(sizes, 48), "id")
+    centre = F.min(F.struct((F.col("u") / F.col("n")).alias("own"), "id", "n", "u")).alias("c")
+    centres = materialize(sized.groupBy("bucket").agg(centre).select(
+        "bucket", F.col("c.id").alias("c_id"), F.col("c.n").alias("c_n"), F.col("c.u").alias("c_u")), "centres")
+    near = sized.withColumnsRenamed({"n": "a_n", "u": "a_u"}).join(broadcast_if_small(centres, 64), "bucket")
+    near = near.where((F.col("id") != F.col("c_id")) & _bound(threshold_pct, "a_", "c_"))
+    near = _labelled(_labelled(near.select("id", "c_id").distinct(), found.labels, "id", "x"), found.labels, "c_id", "y")
+    found.compare(near.where("x <> y").select(*_ordered("id", "c_id")).distinct())
+
+    members = _labelled(_labelled(around, found.labels, "id", "label"), found.labels, "hub", "hub_label")
+    apart = materialize(members.where("label <> hub_label").select("id").distinct(), "apart")
+    rows = _labelled(prefixes.join(broadcast_if_small(sizes, 48), "id"), found.labels, "id", "label")
+    rows = materialize(rows.join(broadcast_if_small(apart.withColumn("apart", F.lit(True)), 48), "id", "left")
+                       .withColumn("apart", F.coalesce("apart", F.lit(False))), "prefixes")
+    own = ["id", "at", "n", "u", "label", "apart"]
+    a = rows.where("apart").select("x", *[F.col(c).alias(f"a_{c}") for c in own])
+    b = rows.select("x", *[F.col(c).alias(f"b_{c}") for c in own])
+    once = ~F.col("b_apart") | (F.col("a_id") < F.col("b_id"))
+    rest = a.join(b, "x").where((F.col("a_label") != F.col("b_label")) & once & _bound(threshold_pct, "a_", "b_")
+                             & _places_bound(threshold_pct))
+    found.compare(rest.select(*_ordered("a_id", "b_id")).distinct())
+    return found.labels

@@ -32,20 +32,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import WordHashes, broadcast_if_small, mix, odd_constants, packed, shingles, words
+from .common import WordHashes, bounded_batches, broadcast_if_small, mix, odd_constants, packed, shingles, words
 from .components import link_buckets
 
 THRESHOLD_PCT = 85
-COORDINATES = 128
 BAND_ROWS = 4
 BANDS = 20
-#: Least number of equal bits, of COORDINATES one-bit places, for a pair to be compared:
-#: a pair at the threshold has 118.4 on average, with deviation 2.98; this is six below.
-LEAST_EQUAL_BITS = 100
+COORDINATES = BAND_ROWS * BANDS
 
 _U64 = np.uint64
 _ROUND = odd_constants(2 * COORDINATES, seed=41)
@@ -70,20 +67,14 @@ def sketch(elements: np.ndarray, size: int = COORDINATES) -> np.ndarray:
 
 def band_keys(places: np.ndarray) -> np.ndarray:
     """One 64-bit bucket for each band."""
-    rows = places[:BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
+    rows = places.reshape(BANDS, BAND_ROWS)
     total = np.arange(BANDS, dtype=np.uint64) * _BAND[BAND_ROWS]
     for j in range(BAND_ROWS):
         total = mix(total + rows[:, j] * _BAND[j])
     return total
 
 
-def one_bits(places: np.ndarray) -> np.ndarray:
-    """One bit of each place, packed into two 64-bit words."""
-    bits = (mix(places) & _U64(1)).astype(np.uint8)
-    return np.packbits(bits).view("<u8")
-
-
-_SKETCHED = ("doc_id long, n_shingles long, hi long, lo long, bands array<long>, bits0 long, bits1 long")
+_SKETCHED = "doc_id long, n_shingles long, hi long, lo long, bands array<long>"
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,23 +82,20 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         n = batch.num_rows
         sizes, digests = np.zeros(n, np.int64), np.zeros((n, 2), np.uint64)
-        bands, bits, lengths = [], np.zeros((n, 2), np.uint64), np.zeros(n + 1, np.int32)
+        bands, lengths = [], np.zeros(n + 1, np.int32)
         for i, text in enumerate(batch.column(1)):
             found = np.unique(shingles(hashes.of(_lower_words(text.as_py()))))
             sizes[i] = len(found)
             if len(found):
                 digest = xxhash.xxh3_128_digest(found.tobytes())
                 digests[i] = np.frombuffer(digest, "<u8")
-                places = sketch(found)
-                bands.append(band_keys(places))
-                bits[i] = one_bits(places)
+                bands.append(band_keys(sketch(found)))
                 lengths[i + 1] = BANDS
         keys = np.concatenate(bands) if bands else np.empty(0, np.uint64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes), *(pa.array(digests[:, j].view(np.int64)) for j in (0, 1)),
-             pa.ListArray.from_arrays(pa.array(np.cumsum(lengths, dtype=np.int32)), pa.array(keys.view(np.int64))),
-             *(pa.array(np.ascontiguousarray(bits[:, j]).view(np.int64)) for j in (0, 1))],
-            ["doc_id", "n_shingles", "hi", "lo", "bands", "bits0", "bits1"])
+            [batch.column(0), pa.array(sizes), *(pa.array(np.ascontiguousarray(digests[:, j]).view(np.int64)) for j in (0, 1)),
+             pa.ListArray.from_arrays(pa.array(np.cumsum(lengths, dtype=np.int32)), pa.array(keys.view(np.int64)))],
+            ["doc_id", "n_shingles", "hi", "lo", "bands"])
 
 
 def _lower_words(text: str | None) -> list[bytes]:
@@ -121,28 +109,16 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
         flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "shingles"])
+            [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "s"])
 
 
 def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: size and digest of its set, band buckets and one-bit places."""
+    """Per document: size and 128-bit digest of its set, and its buckets."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(_sketch_batches, _SKETCHED)
 
 
-def _similar(threshold_pct: int) -> Column:
-    shared = F.size(F.array_intersect("a_set", "b_set"))
-    return 100 * shared >= threshold_pct * (F.size("a_set") + F.size("b_set") - shared)
-
-
-def _likely(a: str, b: str) -> Column:
-    """Sizes and one-bit places of a pair leave room for the threshold."""
-    differing = sum(F.bit_count(F.col(f"{a}bits{j}").bitwiseXOR(F.col(f"{b}bits{j}"))) for j in (0, 1))
-    m, n = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
-    return (100 * F.least(m, n) >= THRESHOLD_PCT * F.greatest(m, n)) & (
-        COORDINATES - differing >= LEAST_EQUAL_BITS)
-
-
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     threshold_pct: int = THRESHOLD_PCT) -> DataFrame:
     """doc_id, n_shingles, class_id (least id with the same set), component_id, kept."""
@@ -153,20 +129,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         sketched.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("hi", "lo")
         .agg(F.min("doc_id").alias("class_id")), "classes")
     heads = sketched.join(broadcast_if_small(classes, 64), ["hi", "lo"]).where("doc_id = class_id")
-    carried = ["n_shingles", "bits0", "bits1"]
-    buckets = materialize(heads.select(F.explode("bands").alias("bucket"), F.col("class_id").alias("id"), *carried),
-                          "buckets")
+    buckets = materialize(heads.select(F.explode("bands").alias("bucket"), F.col("class_id").alias("id")), "buckets")
 
-    def verifier(ids: DataFrame):
+    def sets_of(ids: DataFrame) -> DataFrame:
         rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-        sets = materialize(rows.join(broadcast_if_small(ids, 40), "id", "left_semi")
-                           .mapInArrow(_set_batches, "id long, shingles array<long>"), "sets")
-        left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("a_set"))
-        right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("b_set"))
-        return lambda pairs: pairs.join(left, "a").join(right, "b").where(
-            _similar(threshold_pct)).select("a", "b").distinct()
-
-    labels = link_buckets(buckets, verifier, _likely, carried)
+        return materialize(rows.join(broadcast_if_small(ids, 40), "id", "left_semi")
+                           .mapInArrow(_set_batches, "id long, s array<long>"), "sets")
+
+    labels = link_buckets(buckets, sets_of, threshold_pct)
     linked = sketched.select("doc_id", "n_shingles", "hi", "lo").join(
         broadcast_if_small(classes, 64), ["hi", "lo"], "left").join(
         broadcast_if_small(labels, 48), F.col("class_id") == F.col("node"), "left")
