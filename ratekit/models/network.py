@@ -47,7 +47,7 @@ class NetConfig:
     tower: tuple = (32, 16)
     latent: int = 8
     dropout: float = 0.1
-    epochs: int = 20
+    epochs: int = 16
     batch: int = 256
     lr: float = 0.005
     weight_decay: float = 1e-5

@@ -54,7 +54,7 @@ INT_MAX = 2**31 - 1
 class ModelConfig:
     kind: str = "ncf_classifier"
     rank: int = 16              # embedding size
-    als_iter: int = 10
+    als_iter: int = 8
     als_reg: float = 0.1
     folds: int = 2              # ALS fits for out-of-fold training features
     seed: int = 42
@@ -254,16 +254,29 @@ class FitResult:
     train_mean: float
 
 
-def fit(ratings: DataFrame, cfg: ModelConfig) -> FitResult:
+@dataclass
+class Prepared:
+    """Stored rows with split and fold, and the factors: what kinds with one split rule can share."""
+    rows: DataFrame
+    full: Factors
+    folds: list[Factors]
+
+
+def prepare(ratings: DataFrame, cfg: ModelConfig) -> Prepared:
+    """Split the ratings (decided on narrow columns) and fit the factors."""
+    fold = F.floor(C.hash_uniform(F.col("k"), F.lit(f"fold{cfg.seed}")) * cfg.folds).cast("int")
+    rows = materialize(split(ratings, cfg).withColumn("fold", fold), "split-ratings")
+    return Prepared(rows, *fit_factors(rows.where("split = 'train'"), cfg))
+
+
+def fit(ratings: DataFrame, cfg: ModelConfig, prepared: Prepared | None = None) -> FitResult:
     """Split, fit factors and network on train, select on validation, score the test split.
 
     ``ratings`` holds (k, user_id, item_id, rating) and the side features.
-    The split is decided on narrow columns; what is reused is stored.
     """
-    fold = F.floor(C.hash_uniform(F.col("k"), F.lit(f"fold{cfg.seed}")) * cfg.folds).cast("int")
-    rows = materialize(split(ratings, cfg).withColumn("fold", fold), "split-ratings")
+    prepared = prepared or prepare(ratings, cfg)
+    rows, full, folds = prepared.rows, prepared.full, prepared.folds
     train = rows.where("split = 'train'")
-    full, folds = fit_factors(train, cfg)
 
     parts = [f.attach(train.where(F.col("fold") == i)) for i, f in enumerate(folds)]
     known = parts[0]
