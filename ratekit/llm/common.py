@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 << 20
 
 #: Distinct words whose hashes one Python worker remembers before it starts afresh.
-WORD_CACHE = 400_000
+WORD_CACHE = 100_000
 
 #: Bounds of an Arrow batch given to a Python function over texts.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
