@@ -59,8 +59,8 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> Data
 class _Links:
     """Verified links so far, the pairs that were compared, and the components they make."""
 
-    def __init__(self, sets: DataFrame, threshold_pct: int):
-        self.sets, self.threshold = sets, threshold_pct
+    def __init__(self, sets: DataFrame, threshold_pct: int, set_of: Callable[[Column], Column] | None = None):
+        self.sets, self.threshold, self.set_of = sets, threshold_pct, set_of
         self.links: DataFrame | None = None
         self.tested: DataFrame | None = None
         self.labels: DataFrame | None = None
@@ -68,11 +68,24 @@ class _Links:
     def _similar(self, pairs: DataFrame) -> DataFrame:
         left = self.sets.select(F.col("id").alias("a"), F.col("s").alias("a_set"))
         right = self.sets.select(F.col("id").alias("b"), F.col("s").alias("b_set"))
+        if self.set_of is not None:
+            return self._similar_made(pairs.join(left, "a").join(right, "b"))
         shared = F.size(F.array_intersect("a_set", "b_set"))
         union = F.size("a_set") + F.size("b_set") - shared
         return pairs.join(left, "a").join(right, "b").where(
             100 * shared >= self.threshold * union).select("a", "b").distinct()
 
+    def _similar_made(self, joined: DataFrame) -> DataFrame:
+        """The similar ones of pairs that carry what their sets are made from.
+
+        The lambdas make each set, and count what is shared, once a pair.
+        """
+        made = F.array(F.struct(self.set_of(F.col("a_set")).alias("a"), self.set_of(F.col("b_set")).alias("b")))
+        counted = F.transform(made, lambda p: F.struct(
+            F.size(F.array_intersect(p["a"], p["b"])).alias("shared"), (F.size(p["a"]) + F.size(p["b"])).alias("both")))
+        reached = F.exists(counted, lambda c: 100 * c["shared"] >= self.threshold * (c["both"] - c["shared"]))
+        return joined.where(reached).select("a", "b").distinct()
+
     def compare(self, pairs: DataFrame) -> None:
         """Compare the full sets of pairs (a > b) that were not compared yet; join up what is similar."""
         if self.tested is not None:
@@ -123,12 +136,14 @@ def _prefixes(sets: DataFrame, threshold_pct: int) -> tuple[DataFrame, DataFrame
     return materialize(sizes, "set-sizes"), rare.where((F.col("df") > 1) & (F.col("at") <= upto)).select("id", "x", "at")
 
 
-def link_buckets(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold_pct: int) -> DataFrame:
+def link_buckets(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold_pct: int,
+                 set_of: Callable[[Column], Column] | None = None) -> DataFrame:
     """Components of ids whose sets are similar and that share a bucket or are linked through others.
 
     ``buckets`` is (bucket, id); ``sets_of`` gets the stored ids that share a
     bucket with others and returns their sets, a stored table (id, s) with
-    s an array of distinct 64-bit elements.  Links are pairs whose Jaccard similarity,
+    s an array of distinct 64-bit elements, or, with ``set_of``, what that
+    makes such an array of (a text is smaller than its set).  Links are pairs whose Jaccard similarity,
     counted on the full sets, reaches the threshold.  Not all pairs of a
     bucket are compared, for only links between components matter:
 
@@ -149,7 +164,7 @@ def link_buckets(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
                                                      F.count("*").alias("size"))
                        .where("hub < top").select("bucket", "hub", "size"), "hubs")
     shared = materialize(buckets.join(broadcast_if_small(hubs, 64), "bucket"), "shared-buckets")
-    found = _Links(sets_of(materialize(shared.select("id").distinct(), "shared-ids")), threshold_pct)
+    found = _Links(sets_of(materialize(shared.select("id").distinct(), "shared-ids")), threshold_pct, set_of)
 
     found.compare(shared.groupBy("id").agg(F.min("hub").alias("hub")).where("hub < id")
                   .select(F.col("id").alias("a"), F.col("hub").alias("b")))
@@ -163,7 +178,10 @@ def link_buckets(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
         return found.labels
     around = materialize(shared.join(broadcast_if_small(mixed, 40), "bucket", "left_semi"), "mixed-members")
     ids = materialize(around.select("id").distinct(), "mixed-ids")
-    sizes, prefixes = _prefixes(found.sets.join(broadcast_if_small(ids, 40), "id", "left_semi"), threshold_pct)
+    sets = found.sets.join(broadcast_if_small(ids, 40), "id", "left_semi")
+    if set_of is not None:
+        sets = sets.withColumn("s", set_of(F.col("s")))
+    sizes, prefixes = _prefixes(sets, threshold_pct)
 
     sized = around.select("bucket", "id").join(broadcast_if_small(sizes, 48), "id")
     centre = F.min(F.struct((F.col("u") / F.col("n")).alias("own"), "id", "n", "u")).alias("c")
