@@ -11,7 +11,8 @@ All visible text is emitted, navigation and footers too: this is a
 renderer, not a main-content guesser.  Hidden are: head, scripts, styles,
 templates, comments; elements with `hidden`, `display: none` or
 `visibility: hidden` (which a child may undo), inline or by a style sheet
-in the page with a plain tag, class or id selector; closed dialogs and
+in the page with a plain tag, class or id selector (rules for print, for some
+widths or under another condition do not count); closed dialogs and
 details (but for their summary); hidden inputs.
 
 Spark reads, partitions and writes; each page is rendered alone in an
@@ -62,7 +63,9 @@ WALLS = {"table", "td", "th", "caption", "template"}
 _TAG = re.compile(r"""<(?:!--(.*?)(?:-->|$)|[!?][^>]*(?:>|$)|/([a-zA-Z][^\s/>]*)[^>]*(?:>|$)"""
                   r"""|([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)(?:>|$))""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_CSS_MARK = re.compile(r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[{};]""", re.S)
+#: Media queries that hold on every screen.
+ON_SCREEN = {"", "all", "screen", "only all", "only screen", "not print", "not speech"}
 _SIMPLE = re.compile(r"[.#]?[\w-]+")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -176,15 +179,47 @@ def _declared(style: str) -> dict[str, str]:
     return {k.strip(): v.replace("!important", "").strip() for k, v in pairs}
 
 
+def _on_screen(media: str) -> bool:
+    return any(_SPACE.sub(" ", query).strip() in ON_SCREEN for query in media.lower().split(","))
+
+
+def _always(prelude: str) -> bool:
+    """Whether the rules in an at-rule's block hold on every screen."""
+    name, rest = re.match(r"@([\w-]*)(.*)", prelude, re.S).groups()
+    return name.lower() == "layer" or name.lower() == "media" and _on_screen(rest)
+
+
+def _css_rules(css: str):
+    """(selectors, declarations) of the rules that hold on every screen; blocks are read by their braces."""
+    blocks: list[tuple[str, bool, list[str]]] = []  # selectors, whether it holds, declarations
+    start = 0
+    for m in _CSS_MARK.finditer(css):
+        if m[0] not in "{};":
+            continue
+        piece, start = css[start:m.start()].strip(), m.end()
+        if m[0] == "{":
+            outer, holds, _ = blocks[-1] if blocks else ("", True, [])
+            if piece.startswith("@"):
+                blocks.append((outer, holds and _always(piece), []))
+            else:  # a rule in another rule is for descendants: no plain selector
+                blocks.append((piece, holds and not outer, []))
+        elif blocks:
+            blocks[-1][2].append(piece)
+            if m[0] == "}":
+                selectors, holds, declarations = blocks.pop()
+                if holds and selectors:
+                    yield selectors, ";".join(declarations)
+
+
 def _style_rules(root: Node) -> dict[str, dict[str, str]]:
     """Simple selector -> display and visibility, from the page's own style sheets."""
     rules: dict[str, dict[str, str]] = {}
     todo = [root]
     while todo:
         node = todo.pop()
-        if node.tag == "style":
+        if node.tag == "style" and _on_screen(node.attributes.get("media", "")):
             css = re.sub(r"/\*.*?\*/", "", "".join(c for c in node.children if isinstance(c, str)), flags=re.S)
-            for selectors, body in _RULE.findall(css):
+            for selectors, body in _css_rules(css):
                 said = {k: v for k, v in _declared(body).items() if k in ("display", "visibility")}
                 for selector in selectors.split(",") if said else ():
                     if _SIMPLE.fullmatch(selector.strip()):

@@ -90,3 +90,27 @@ def test_query_and_clashing_columns(spark):
     got = H.extract(df)
     assert got.columns == df.columns and sorted(r.text or "" for r in got.collect()) == ["", "a", "a"]
     assert H.extract(df.limit(0)).count() == 0
+
+
+AT_RULES = [
+    ("@media print { .n{display:none} }", True), ("@media (max-width:600px) { .n{display:none} p{color:red} }", True),
+    ("@media screen and (max-width: 9em) { .n{display:none} }", True), ("@media screen { .n{display:none} }", False),
+    ("@MEDIA print, Only  Screen { .n{display:none} }", False), ("@media all{@media print{.n{display:none}}}", True),
+    ("@media not print { .n{display:none} }", False), ("@layer base { .n{display:none} }", False),
+    ("@supports (display:grid) { .n{display:none} }", True), ("@media print{.a{color:red}} .n{display:none}", False),
+    ("@import url(x.css); .n{display:none}", False), ("@font-face{font-family:x} @page{margin:0} .n{display:none}", False),
+    (".n{color:red; @media print { top:0; display:none; } }", True), (".n{@media screen{display:none}}", False),
+    (".a{.n{display:none}}", True), (".a::before{content:'}{'} .n{display:none}", False), ("} .n{display:none}", False),
+    ("@media print{" * 3000 + ".n{display:none}", True), ("/* @media print { */ .n{display:none}", False),
+]
+
+
+@pytest.mark.parametrize("css,shown", AT_RULES)
+def test_rules_for_print_or_some_widths_hide_nothing(css, shown):
+    assert H.render(f"<style>{css}</style><p class=n>menu</p><p>yes") == ("menu\n\nyes" if shown else "yes")
+
+
+def test_style_sheets_for_print_hide_nothing():
+    page = "<style media='{}'>.n{{display:none}}</style><i class=n>menu </i>yes"
+    assert [H.render(page.format(m)) for m in ("print", "screen", "(max-width:9em)", "")] == [
+        "menu yes", "yes", "menu yes", "yes"]
