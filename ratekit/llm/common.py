@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A table is broadcast only where its counted rows stay under this many bytes.
 BROADCAST_BYTES = 64 << 20
@@ -35,13 +38,37 @@ def packed(docs: DataFrame, **columns: str) -> DataFrame:
                        *[F.col(source).alias(name) for name, source in columns.items()])
 
 
+def _bytes_of(value: Column, kind: T.DataType) -> Column:
+    """Bytes of what a value of varying length holds, without its fixed part; null has none."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long")
+    if isinstance(kind, T.StructType):
+        parts = [_bytes_of(value[f.name], f.dataType) for f in kind.fields if _varies(f.dataType)]
+        return functools.reduce(Column.__add__, parts, F.lit(0).cast("long"))
+    if not _varies(kind.elementType):
+        return F.coalesce(F.size(value), F.lit(0)).cast("long") * 16
+    return F.coalesce(F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + 16 + _bytes_of(x, kind.elementType)),
+                      F.lit(0).cast("long"))
+
+
+def _varies(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.StructType))
+
+
+def measured_bytes(df: DataFrame, row_bytes: int) -> int:
+    """Rows times ``row_bytes`` (the fixed part of a row) and the summed bytes of texts and arrays."""
+    parts = [_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields if _varies(f.dataType)]
+    whole = functools.reduce(Column.__add__, parts, F.lit(row_bytes).cast("long"))
+    return df.agg(F.sum(whole)).first()[0] or 0
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its counted size is under ``limit``.
+    """``df`` with a broadcast hint if its measured size is under ``limit``.
 
-    ``df`` should be a stored table, so that the count is cheap.  A larger
+    ``df`` should be a stored table, so that measuring is cheap.  A larger
     one is returned as it is and its join shuffles.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    return F.broadcast(df) if measured_bytes(df, row_bytes) <= limit else df
 
 
 def words(text: str | None) -> list[bytes]:

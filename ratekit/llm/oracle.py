@@ -205,3 +205,61 @@ SELECT page_id, host, path, rule,
        coalesce(component, url) AS alias_of
 FROM p LEFT JOIN ruled USING (page_id) LEFT JOIN label ON node = url LEFT JOIN classes USING (component)
 """
+
+_LEAF = "sha256(concat(" + ", ".join(
+    f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "{n}", "text")) + "))"
+
+
+def _levels(name: str, leaves: str) -> str:
+    """Nodes (lang, h, j, d) of every tree over ``leaves`` (lang, j, d), and the steps (lang, j, h, sib, side) up."""
+    return f"""
+{name}(lang, h, j, d, n) AS (
+  SELECT lang, 0, j, d, count(*) OVER (PARTITION BY lang) FROM {leaves}
+  UNION ALL
+  SELECT lang, h + 1, j // 2, sha256(string_agg(d, '' ORDER BY j)), (n + 1) // 2
+  FROM {name} WHERE n > 1 GROUP BY lang, h, j // 2, n)"""
+
+
+def _proof(nodes: str, leaves: str, start: str, name: str) -> str:
+    """Siblings and folded node of every row of ``leaves`` (id, lang, j, sibs, tried): up to the root of its tree."""
+    return f"""
+{name}(id, lang, h, j, sibs, tried, n) AS (
+  SELECT l.id, l.lang, 0, l.j, l.sibs, l.tried, x.n FROM {start} l JOIN {nodes} x
+    ON x.lang IS NOT DISTINCT FROM l.lang AND x.h = 0 AND x.j = l.j
+  UNION ALL
+  SELECT p.id, p.lang, p.h + 1, p.j // 2, p.sibs || coalesce(s.d, ''),
+         sha256(CASE WHEN s.d IS NULL THEN p.tried WHEN p.j % 2 = 1 THEN s.d || p.tried ELSE p.tried || s.d END), (p.n + 1) // 2
+  FROM {name} p LEFT JOIN {nodes} s ON s.lang IS NOT DISTINCT FROM p.lang AND s.h = p.h AND s.j = xor(p.j, 1)
+  WHERE p.n > 1)"""
+
+
+ORACLE_SQL["op12_merkle_manifest"] = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, range(8)), lambda c, i:
+           CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+base AS (
+  SELECT row_number() OVER () AS id, doc_id, lang, {_LEAF.format(n="n_chars")} AS leaf,
+         {_LEAF.format(n="(n_chars + 1)")} AS moved, n_chars,
+         xor(list_reduce(list_prepend(4294967295, list_transform(
+           regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'), lambda h: ('0x' || h)::BIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)::BIGINT AS crc
+  FROM documents, crc),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS j, leaf AS d,
+         '' AS sibs, CASE WHEN crc % 7 = 0 AND n_chars IS NOT NULL THEN moved ELSE leaf END AS tried
+  FROM base),
+{_levels("nodes", "leaves")},
+subroots AS (
+  SELECT lang, d, NULL AS none, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS j FROM nodes WHERE n = 1),
+tops AS (SELECT 'all' AS lang, j, d FROM subroots),
+{_levels("top", "tops")},
+{_proof("nodes", "leaves", "leaves", "climb")},
+half AS (
+  SELECT c.id, 'all' AS lang, s.j, c.sibs, c.tried, s.d AS subroot
+  FROM climb c JOIN subroots s ON s.lang IS NOT DISTINCT FROM c.lang WHERE c.n = 1),
+{_proof("top", "half", "half", "rise")}
+SELECT l.doc_id, l.leaf, h.subroot, t.d AS root, sha256(r.sibs) AS proof_sha256, r.tried AS folded_root,
+       r.tried = t.d AS verified
+FROM rise r JOIN leaves l USING (id) JOIN half h USING (id), (SELECT d FROM top WHERE n = 1) t
+WHERE r.n = 1
+"""

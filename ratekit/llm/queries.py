@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from . import (byte_bpe, decontaminate, host_quality, html_layout, license_scan, line_dedup, minhash_dedup,
-               slot_sharding, toxicity, url_equivalence)
+from . import (byte_bpe, decontaminate, host_quality, html_layout, license_scan, line_dedup, merkle_manifest,
+               minhash_dedup, slot_sharding, toxicity, url_equivalence)
 from .oracle import ORACLE_SQL  # noqa: F401  (read by the entry module)
 
 QUERIES = {}
@@ -124,6 +124,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+#: Rows whose checksum this divides were tampered with in the manifest query.
+TAMPERED = 7
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its leaf, subroot and root, the digest of its proof, and whether its row now still verifies."""
+    changed = F.crc32(F.col("doc_id").cast("string")) % TAMPERED == 0
+    return merkle_manifest.audit(table(spark, sf_dir, "documents"), changed)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of the documents that the corpus pipeline keeps."""
