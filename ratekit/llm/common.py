@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 
 import numpy as np
@@ -28,6 +29,20 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES):
+    """Bound Arrow batches by rows and bytes for the jobs run inside, and put the session's bounds back."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before = [spark.conf.get(n, None) for n in names]
+    for name, value in zip(names, (rows, size)):
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def packed(docs: DataFrame, **columns: str) -> DataFrame:
     """``row`` (all columns as one struct) next to the named working columns.
 

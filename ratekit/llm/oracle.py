@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import decontaminate as DC
 from . import host_quality as HQ
+from . import lexical_search as LS
 from . import minhash_dedup as MD
 from . import slot_sharding as SS
 from . import url_equivalence as UE
@@ -263,3 +264,29 @@ SELECT l.doc_id, l.leaf, h.subroot, t.d AS root, sha256(r.sibs) AS proof_sha256,
 FROM rise r JOIN leaves l USING (id) JOIN half h USING (id), (SELECT d FROM top WHERE n = 1) t
 WHERE r.n = 1
 """
+
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+ORACLE_SQL["op13_lexical_search"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, {_TERMS} AS w FROM documents),
+docs AS (SELECT id, doc_id, w, len(w)::BIGINT AS n FROM d WHERE len(w) > 0),
+sums AS (SELECT count(*) AS nd, sum(n)::BIGINT AS l FROM docs),
+tf AS (SELECT id, t, count(*) AS tf FROM (SELECT id, unnest(w) AS t FROM docs) GROUP BY ALL),
+weights AS (
+  SELECT t, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), sums),
+items AS (
+  SELECT DISTINCT item_id, list_sort(list_distinct(w)) AS w FROM (SELECT item_id, {_TERMS} AS w FROM benchmark)),
+item_terms AS (SELECT i, item_id, unnest(w) AS t FROM (SELECT row_number() OVER () AS i, * FROM items)),
+m AS (SELECT id, doc_id, 100 - {LS.LENGTH_SHARE} + (({LS.LENGTH_SHARE} * n * nd) // l) AS m FROM docs, sums),
+scores AS (
+  SELECT i, any_value(item_id) AS item_id, id, any_value(doc_id) AS doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM item_terms JOIN tf USING (t) JOIN weights USING (t) JOIN m USING (id) GROUP BY i, id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from . import (byte_bpe, decontaminate, host_quality, html_layout, license_scan, line_dedup, merkle_manifest,
-               minhash_dedup, slot_sharding, toxicity, url_equivalence)
+from . import (ann_forest, byte_bpe, decontaminate, host_quality, html_layout, lexical_search, license_scan,
+               line_dedup, merkle_manifest, minhash_dedup, slot_sharding, toxicity, url_equivalence)
 from .oracle import ORACLE_SQL  # noqa: F401  (read by the entry module)
 
 QUERIES = {}
@@ -124,6 +124,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+#: Rows whose id this divides are the queries of the vector search.
+ASKED = 50
+
+
+@query
+def op11_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per query vector: its five nearest rows found by the forest, with exact cosines."""
+    return ann_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % ASKED == 0, k=5)
+
+
 #: Rows whose checksum this divides were tampered with in the manifest query.
 TAMPERED = 7
 
@@ -135,6 +145,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.audit(table(spark, sf_dir, "documents"), changed)
 
 
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per benchmark item: its ten highest-scoring documents."""
+    return lexical_search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), k=10)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of the documents that the corpus pipeline keeps."""
