@@ -15,13 +15,15 @@ Stratified split, per stratum (user) with n rows:
                 the remainder;
   rows of a stratum are taken in hash order: first test, then val.
 
-Only narrow columns are ranked, never the rows themselves.  The random split
-counts rows by hash prefix and ranks the hashes of the two prefixes that hold
-its cut points; the stratified one ranks (stratum, hash) pairs by a
-range-partitioned global row number, so a stratum holding a third of all
-rows is spread over many tasks.  Both then label the rows by comparing
-their hash with the cut points.  Row keys are taken to be unique: rows that
-share one fall on the same side of a cut.
+Rows are labelled by comparing their hash with two cut points of their
+stratum (a random split has one stratum).  Only (stratum, hash) counts are
+ordered, and in two levels: a stratum of more than ``HOT`` rows is counted by
+hash prefix first and ordered inside the prefixes that hold its cuts, so a
+stratum that holds a third of all rows is never one task.  Rows that share a
+key share a hash, so a cut may fall among equal rows: those alone are ranked
+by a hash of all their columns, over ranges, and sizes stay exact however
+often a key repeats.  Null keys are equal keys, and a null stratum is a
+stratum; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -35,8 +37,10 @@ from ..session import materialize
 from .ordering import global_row_number
 from .profile import value_counts
 
-#: Hexadecimal digits of the hash by which rows are counted before ranking.
+#: Hexadecimal digits of the hash by which rows are counted before they are ordered.
 _PREFIX = 4
+#: Rows from which a stratum is cut into prefixes.
+HOT = 200_000
 
 
 def as_fraction(x: float | Fraction | str) -> Fraction:
@@ -59,18 +63,88 @@ def seeded_hash(seed: int, *cols: str | Column) -> Column:
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
+def _least(rows: DataFrame, h: str, n: int) -> str:
+    """The ``n``-th least of the different hashes in ``h`` (n from 1): counted by prefix, then ordered inside one."""
+    prefix = F.substring(h, 1, _PREFIX)
+    counts = materialize(rows.groupBy(prefix.alias("p")).agg(F.count("*").alias("c")), "hash-prefixes")
+    upto = counts.withColumn("upto", F.sum("c").over(Window.orderBy("p")))  # at most 16^_PREFIX rows
+    at = upto.where(F.col("upto") >= n).orderBy("p").first()
+    inside = rows.where(prefix == at["p"]).orderBy(h).select(h)
+    return inside.offset(n - 1 - (at["upto"] - at["c"])).first()[0]
+
+
 def _quota(strata: DataFrame, n_col: str, f: Fraction, out: str, hash_col: str) -> DataFrame:
-    """floor(n·f) per stratum plus one for the largest remainders."""
+    """floor(n·f) per stratum plus one for the largest remainders; ``strata`` is a stored table."""
     p, q = f.numerator, f.denominator
     s = strata.withColumn("_fl", F.expr(f"({n_col} * {p}) div {q}")) \
               .withColumn("_rem", F.expr(f"({n_col} * {p}) % {q}"))
-    need = s.agg(
-        (F.expr(f"(sum({n_col}) * {p} + {q - 1}) div {q}") - F.sum("_fl")).alias("_need"))
-    ranked = global_row_number(s, [F.desc("_rem"), F.col(hash_col)], out="_rrank")
-    # `need` is one row → bounded broadcast
-    return (ranked.crossJoin(F.broadcast(need))
-            .withColumn(out, F.col("_fl") + F.when(F.col("_rrank") <= F.col("_need"), 1).otherwise(0))
-            .drop("_fl", "_rem", "_rrank", "_need"))
+    counts = s.groupBy("_rem").agg(F.count("*").alias("c"), F.sum(n_col).alias("n"), F.sum("_fl").alias("fl"))
+    by_rem = counts.withColumn("upto", F.sum("c").over(Window.orderBy(F.desc("_rem"))))  # at most q rows
+    total = by_rem.agg(F.sum("n").alias("n"), F.sum("fl").alias("fl"),
+                       F.collect_list(F.struct("_rem", "c", "upto")).alias("by_rem")).first()
+    need = -(-(total["n"] or 0) * p // q) - (total["fl"] or 0)
+    more = F.lit(False)
+    if need > 0:
+        at = next(r for r in sorted(total["by_rem"], key=lambda r: r["upto"]) if r["upto"] >= need)
+        left = need - (at["upto"] - at["c"])
+        level = F.col("_rem") == at["_rem"]
+        if left < at["c"]:
+            level = level & (F.col(hash_col) <= _least(s.where(level), hash_col, left))
+        more = (F.col("_rem") > at["_rem"]) | level
+    return s.withColumn(out, F.col("_fl") + F.when(more, 1).otherwise(0)).drop("_fl", "_rem")
+
+
+def _cuts(keys: DataFrame, strata: DataFrame) -> DataFrame:
+    """Stored (g, test, val): for each stratum the hash at which either part ends, with the rows before and at it.
+
+    ``keys`` is (s, h, c), ``strata`` (g, n, q_test, q_both): rows of a
+    stratum, and how many of the first ones are test, and test or val.
+    """
+    joined = keys.join(strata, F.col("s").eqNullSafe(F.col("g"))).withColumn(
+        "b", F.when(F.col("n") > HOT, F.substring("h", 1, _PREFIX)).otherwise(""))
+    ends = ("q_test", "q_both")
+    inside = lambda q: (F.col("before") < F.col(q)) & (F.col(q) <= F.col("before") + F.col("m"))
+    whole = joined.groupBy("g", "b").agg(F.sum("c").alias("m"), *[F.first(q).alias(q) for q in ends])
+    over = Window.partitionBy("g").orderBy("b")  # at most 16^_PREFIX rows of a stratum
+    parts = whole.withColumn("before", F.sum("m").over(over) - F.col("m")).where(inside("q_test") | inside("q_both"))
+    parts = parts.select(F.col("g").alias("g_"), F.col("b").alias("b_"), F.col("before").alias("start"))
+    held = joined.join(parts, F.col("g").eqNullSafe(F.col("g_")) & (F.col("b") == F.col("b_")))
+    order = Window.partitionBy("g", "b").orderBy("h")  # a stratum of HOT rows at most, or a prefix of one
+    placed = held.withColumn("m", F.col("c")).withColumn("before", F.col("start") + F.sum("c").over(order) - F.col("c"))
+    at = F.struct("h", "before", "c")
+    return materialize(placed.groupBy("g").agg(
+        F.max(F.when(inside("q_test"), at)).alias("test"), F.max(F.when(inside("q_both"), at)).alias("val"),
+        *[F.first(q).alias(q) for q in ends]), "split-cuts")
+
+
+def _labelled(rows: DataFrame, cuts: DataFrame, stratum: Column, columns: list[str], out: str) -> DataFrame:
+    """Label ``rows`` (with ``_h``) by the cuts of their stratum."""
+    # a stratum of no test and no val rows has no cuts
+    joined = rows.withColumn("_s", stratum).join(cuts, F.col("_s").eqNullSafe(F.col("g")), "left")
+
+    def shared(part: str, q: str) -> Column:  # the cut leaves some rows of its hash on either side
+        return F.coalesce(F.col(f"{part}.before") + F.col(f"{part}.c") > F.col(q), F.lit(False))
+
+    def first(part: str, q: str) -> Column:
+        return F.coalesce(F.col("_h") <= F.col(f"{part}.h"), F.lit(False))
+
+    label = F.when(first("test", "q_test"), "test").when(first("val", "q_both"), "val").otherwise("train")
+    split = cuts.where(shared("test", "q_test") | shared("val", "q_both"))
+    if split.isEmpty():
+        return joined.withColumn(out, label).select(*columns, out)
+    tied = F.coalesce((F.col("_h") == F.col("test.h")) & shared("test", "q_test"), F.lit(False)) | \
+        F.coalesce((F.col("_h") == F.col("val.h")) & shared("val", "q_both"), F.lit(False))
+    plain = joined.where(~tied).withColumn(out, label).select(*columns, out)
+    # rows of a key that a cut divides, in the order of a hash of all their columns
+    ranked = global_row_number(joined.where(tied).withColumn("_all", F.xxhash64(*[F.col(f"`{c}`") for c in columns])),
+                               ["_s", "_h", "_all"], out="_rn")
+    starts = materialize(ranked.groupBy(F.col("_s").alias("_s2"), F.col("_h").alias("_h2")).agg(F.min("_rn").alias("_r1")),
+                         "tie-starts")
+    ranked = ranked.join(starts, F.col("_s").eqNullSafe(F.col("_s2")) & (F.col("_h") == F.col("_h2")))
+    before = F.when(F.col("_h") == F.col("test.h"), F.col("test.before")).otherwise(F.col("val.before"))
+    place = before + F.col("_rn") - F.col("_r1") + 1
+    label = F.when(place <= F.col("q_test"), "test").when(place <= F.col("q_both"), "val").otherwise("train")
+    return plain.unionByName(ranked.withColumn(out, label).select(*columns, out))
 
 
 def stratified_split(df: DataFrame, strata: str = "user_id", key: str = "k",
@@ -80,48 +154,14 @@ def stratified_split(df: DataFrame, strata: str = "user_id", key: str = "k",
     f_test = as_fraction(test)
     f_val = validation_fraction(test, val, relative_to)
     rows = df.withColumn("_h", seeded_hash(seed, key))
-    pos = global_row_number(rows.select(F.col(strata).alias("_s"), F.col("_h").alias("_hash")),
-                            ["_s", "_hash"], out="_rn")
-    per = pos.groupBy("_s").agg(F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    per = per.withColumn("_hs", seeded_hash(seed, "_s"))
-    per = _quota(per, "_n", f_test, "_q_test", "_hs")
-    per = per.withColumn("_n_rest", F.col("_n") - F.col("_q_test"))
-    per = _quota(per, "_n_rest", f_val, "_q_val", "_hs")
-    per = per.select(F.col("_s").alias("_g"), "_start", "_q_test", "_q_val")
-    # per-stratum tables grow with the number of strata → AQE chooses the joins;
-    # a null stratum is a stratum
-    at = F.col("_rn") - F.col("_start")
-    cuts = pos.join(per, F.col("_s").eqNullSafe(F.col("_g"))).groupBy("_g").agg(
-        F.max(F.when(at < F.col("_q_test"), F.col("_hash"))).alias("_test"),
-        F.max(F.when(at < F.col("_q_test") + F.col("_q_val"), F.col("_hash"))).alias("_val"))
-    joined = rows.join(cuts, F.col(strata).eqNullSafe(F.col("_g")))
-    label = (F.when(F.col("_h") <= F.col("_test"), "test")
-             .when(F.col("_h") <= F.col("_val"), "val").otherwise("train"))
-    return joined.withColumn(out, label).drop("_h", "_g", "_test", "_val")
-
-
-def _hash_at(rows: DataFrame, prefixes: DataFrame, ranks: list[int]) -> list[str]:
-    """The hash of rank r (from 1) among ``_h``, for each r; "" for rank 0.
-
-    ``prefixes`` (stored) counts rows by hash prefix, at most 16^4 of them; only
-    the prefixes that hold a wanted rank are ranked row by row.
-    """
-    upto = F.sum("n").over(Window.orderBy("prefix"))  # at most 65,536 rows
-    cum = prefixes.withColumn("upto", upto)
-    found = {}
-    for rank in ranks:
-        if rank:
-            r = cum.where(F.col("upto") >= rank).orderBy("prefix").first()
-            found[rank] = (r["prefix"], rank - (r["upto"] - r["n"]))
-    wanted = sorted({p for p, _ in found.values()})
-    inside = rows.where(F.substring("_h", 1, _PREFIX).isin(wanted)).select(
-        F.substring("_h", 1, _PREFIX).alias("prefix"), "_h")
-    place = F.row_number().over(Window.partitionBy("prefix").orderBy("_h"))
-    hit = F.lit(False)
-    for p, i in found.values():
-        hit = hit | ((F.col("prefix") == p) & (F.col("place") == i))
-    at = {(r["prefix"], r["place"]): r["_h"] for r in inside.withColumn("place", place).where(hit).collect()}
-    return [at[found[r]] if r else "" for r in ranks]
+    keys = materialize(rows.groupBy(F.col(strata).alias("s"), F.col("_h").alias("h")).agg(F.count("*").alias("c")),
+                       "split-keys")
+    per = materialize(keys.groupBy(F.col("s").alias("g")).agg(F.sum("c").alias("n")).withColumn(
+        "_hs", seeded_hash(seed, "g")), "split-strata")
+    per = _quota(per, "n", f_test, "q_test", "_hs").withColumn("_rest", F.col("n") - F.col("q_test"))
+    per = _quota(per, "_rest", f_val, "_q_val", "_hs").withColumn("q_both", F.col("q_test") + F.col("_q_val"))
+    cuts = _cuts(keys, per.select("g", "n", "q_test", "q_both"))
+    return _labelled(rows, cuts, F.col(strata), df.columns, out)
 
 
 def random_split(df: DataFrame, key: str = "k", test: float = 0.1, val: float = 0.1,
@@ -131,14 +171,14 @@ def random_split(df: DataFrame, key: str = "k", test: float = 0.1, val: float =
     f_test = as_fraction(test)
     f_val = validation_fraction(test, val, relative_to)
     rows = df.withColumn("_h", seeded_hash(seed, key))
-    prefixes = materialize(rows.groupBy(F.substring("_h", 1, _PREFIX).alias("prefix"))
-                           .agg(F.count(F.lit(1)).alias("n")), "hash-prefixes")
-    n = prefixes.agg(F.sum("n")).first()[0] or 0
+    n = df.count()
     n_test = _ceil_share(n, f_test)
-    n_val = _ceil_share(n - n_test, f_val)
-    cut_test, cut_val = _hash_at(rows, prefixes, [n_test, n_test + n_val])
-    label = F.when(F.col("_h") <= cut_test, "test").when(F.col("_h") <= cut_val, "val").otherwise("train")
-    return rows.withColumn(out, label).drop("_h")
+    n_both = n_test + _ceil_share(n - n_test, f_val)
+    keys = rows.groupBy(F.lit(0).alias("s"), F.col("_h").alias("h")).agg(F.count("*").alias("c"))
+    one = df.sparkSession.range(1).select(F.lit(0).alias("g"), F.lit(n).alias("n"), F.lit(n_test).alias("q_test"),
+                                          F.lit(n_both).alias("q_both"))
+    cuts = _cuts(materialize(keys, "split-keys"), F.broadcast(one))
+    return _labelled(rows, F.broadcast(cuts), F.lit(0), df.columns, out)  # one row
 
 
 def _ceil_share(n: int, f: Fraction) -> int:

@@ -559,11 +559,24 @@ FROM sp WHERE split = 'test'"""
 SELECT user_id, item_id, rating, 8 AS latent_size, true AS finite FROM sp WHERE split = 'test'"""
     q["model_roundtrip"] = _with(PLANTED, splits["ncf_regressor"]) + """
 SELECT count(*) AS scored, count(*) AS equal FROM sp WHERE split = 'test'"""
-    models = ", ".join(f"('{m}')" for m in splits)
-    q["model_test_metrics"] = f"""
-SELECT model, metric, class, true AS within_bound FROM (VALUES {models}) m(model),
-  (SELECT 'accuracy' AS metric, NULL::INTEGER AS class UNION ALL SELECT 'mae', NULL
-   UNION ALL SELECT 'auc', unnest(range(1, 6))::INTEGER) x"""
+    q["training_resume"] = _with(PLANTED, splits["ncf_regressor"]) + """
+SELECT count(*) AS scored, count(*) AS equal, 4::BIGINT AS epochs FROM sp WHERE split = 'test'"""
+    parts = []
+    for kind, split in splits.items():
+        parts.append(_with(PLANTED, split) + f"""
+, c AS (SELECT split, rating, count(*) AS n FROM sp GROUP BY ALL),
+tr AS (SELECT sum(rating * n) / sum(n)::DOUBLE AS mean, arg_max(rating, n * 10 - rating) AS top FROM c WHERE split = 'train'),
+te AS (SELECT rating, n FROM c WHERE split = 'test'),
+base AS (
+  SELECT sum(n) AS n, sum(CASE WHEN rating = top THEN n ELSE 0 END) / sum(n)::DOUBLE AS accuracy,
+         sum(abs(rating - mean) * n) / sum(n) AS mae, sqrt(sum((rating - mean) * (rating - mean) * n) / sum(n)) AS rmse
+  FROM te, tr)
+SELECT '{kind}' AS model, metric, NULL::INTEGER AS class, n::BIGINT AS n, round(v, 9) AS base FROM base, LATERAL (
+  VALUES ('accuracy', accuracy), ('mae', mae), ('rmse', rmse), ('macro_precision', NULL), ('macro_recall', NULL),
+         ('macro_f1', NULL), ('weighted_f1', NULL), ('als_mae', NULL)) x(metric, v)
+UNION ALL
+SELECT '{kind}', metric, rating, n::BIGINT, NULL FROM te, (VALUES ('precision'), ('recall'), ('f1'), ('auc')) x(metric)""")
+    q["model_test_metrics"] = "SELECT *, true AS within_bound FROM (" + ") UNION ALL SELECT *, true FROM (".join(parts) + ")"
     q["vae_training_history"] = """
 SELECT 'variational' AS run, 0E0 AS first_kl_weight, true AS best_after_first, true AS reconstructs_better"""
     q["latent_pca"] = "SELECT vec_id, label, true AS projected, true AS in_order FROM embeddings"

@@ -8,6 +8,7 @@ given.  Shared folders for intermediate tables come from
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import os
 import tempfile
@@ -106,6 +107,24 @@ def ship_package(spark: SparkSession) -> None:
     sc.addPyFile(str(archive))
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, rows: int, size: int = 2**31 - 1):
+    """Bound Arrow batches by rows and bytes for the jobs run inside, and put the session's bounds back.
+
+    Without a bound of bytes Spark need not measure every row, which for
+    narrow rows takes far longer than sending them.
+    """
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before = [spark.conf.get(n, None) for n in names]
+    for name, value in zip(names, (rows, size)):
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table under the shared folder."""
     base = ensure_checkpoint_dir(spark)
@@ -121,12 +140,30 @@ def default_parallelism(spark: SparkSession) -> int:
     return max(1, shuffle)
 
 
-def materialize(df, name: str):
-    """Write ``df`` as Parquet under the shared folder and read it back.
+def materialize(df, name: str, path: str | None = None):
+    """Write ``df`` as Parquet under the shared folder (or to ``path``) and read it back.
 
     Cuts the lineage (a lost executor re-reads the files instead of
     recomputing the plan) and freezes results that are reused many times.
     """
-    path = shared_path(df.sparkSession, name)
+    path = path or shared_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # no job to find the schema
+
+
+def _folder(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def list_stored(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of the shared store; none if there is no such folder."""
+    fs, folder = _folder(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that a later one has replaced."""
+    fs, folder = _folder(spark, path)
+    fs.delete(folder, True)

@@ -1,8 +1,8 @@
 """Score a stream of new ratings with a fitted rating model.
 
-The model's transform is a chain of stream–static joins (id encoders,
-factor tables, one-row mean factors) and projections, so it applies to a
-streaming DataFrame unchanged; no state is kept between micro-batches.
+The model's transform is a chain of stream–static joins with the embedding
+rows and a projection, so it applies to a streaming DataFrame unchanged; no
+state is kept between micro-batches.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..models.two_stage import RatingModel
+from ..models.rating_models import RatingModel
 
 
 def read_rating_stream(spark: SparkSession, path: str, schema: T.StructType,

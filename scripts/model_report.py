@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from ratekit.models import two_stage as M  # noqa: E402
+from ratekit.models import rating_models as M  # noqa: E402
 from ratekit.operators import evaluation as E  # noqa: E402
 from ratekit.plans import model_queries as Q  # noqa: E402
 from ratekit.session import get_session, materialize, ship_package  # noqa: E402

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from data_dirs import SF_SMALL
 from ratekit.plans.oracle import ORACLE_SQL
 from ratekit.plans.queries import REGISTRY
 
@@ -60,5 +60,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_callable():
     q = entry.queries()
     assert set(entry.oracle_sql()) <= set(q)
-    for name in q:
-        assert not name.startswith("op") and name != "pipeline"
+    assert all(callable(fn) for fn in q.values())
+    # the library's own queries hold without the training-text ones
+    assert set(ORACLE_SQL) <= set(REGISTRY) <= set(q)
+    assert not any(name.startswith("op") or name == "pipeline" for name in REGISTRY)
