@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..session import materialize
 from .ordering import global_row_number
 
 # --- O-15 standard scaling -----------------------------------------------------
@@ -80,6 +81,50 @@ def one_hot(df: DataFrame, columns: Sequence[str],
     return out
 
 
+def category_dictionary(df: DataFrame, column: str, least: int = 1) -> DataFrame:
+    """Stored (value, code, n): every non-null value met ``least`` times or more, its dense code and count.
+
+    Codes follow the sorted values and come from a range-partitioned row
+    number, so a domain of any size is neither collected nor sorted in one
+    task.  Store it with a model and encode new rows by it.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    ranked = global_row_number(counts.where(F.col("n") >= least), ["value"], out="_rn")
+    return materialize(ranked.select("value", (F.col("_rn") - 1).alias("code"), "n"), "categories")
+
+
+def sparse_one_hot(df: DataFrame, column: str, dictionary: DataFrame, out: str | None = None, hot: int = 100_000,
+                   salts: int = 32) -> DataFrame:
+    """Add ``out`` = struct(size, indices, values): the one-hot vector of an open domain, as its one place.
+
+    ``size`` is the number of codes.  A null or unknown value has no place
+    (an all-zero vector).  Values met more than ``hot`` times when the
+    dictionary was made are joined apart: their dictionary rows, at most
+    rows / ``hot`` of them, are repeated for ``salts`` salts and the rows
+    that hold them spread over those, so that one value is not one task.
+    The join strategies are AQE's.
+    """
+    out = out or f"{column}_onehot"
+    size = dictionary.agg(F.coalesce(F.max("code") + 1, F.lit(0)).alias("_size"))  # one row
+    keyed = dictionary.select(F.col("value").alias("_value"), F.col("code").alias("_code"), F.col("n").alias("_n"))
+    heavy = keyed.where(F.col("_n") > hot).select(
+        "_value", "_code", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    rare = keyed.where(F.col("_n") <= hot).select("_value", "_code", F.lit(0).alias("_salt"))
+    # a row looks under its own salt and, once, under that of the rare values
+    own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
+    rows = df.withColumn("_own", own)
+    first = rows.join(heavy, (F.col(column) == F.col("_value")) & (F.col("_own") == F.col("_salt")), "left").drop("_value", "_salt")
+    known = F.col("_code").isNotNull()
+    look = F.when(~known, F.col(column))  # rows that found a heavy value look no further
+    second = first.withColumn("_look", look).join(rare.withColumnRenamed("_code", "_rare"),
+                                                  F.col("_look") == F.col("_value"), "left")
+    code = F.coalesce("_code", "_rare")
+    vector = F.struct(F.col("_size").alias("size"),
+                      F.when(code.isNull(), F.array().cast("array<bigint>")).otherwise(F.array(code)).alias("indices"),
+                      F.when(code.isNull(), F.array().cast("array<double>")).otherwise(F.array(F.lit(1.0))).alias("values"))
+    return second.crossJoin(F.broadcast(size)).select(*[F.col(f"`{c}`") for c in df.columns], vector.alias(out))
+
+
 # --- O-16 label encoding -------------------------------------------------------
 
 def fit_label_encoder(df: DataFrame, column: str, out: str | None = None) -> DataFrame:

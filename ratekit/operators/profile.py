@@ -138,6 +138,61 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
             .orderBy("bin"))
 
 
+def quantile_points(df: DataFrame, column: str, shares: Sequence[float], accuracy: int = 10_000) -> DataFrame:
+    """One row: count, least, greatest and ``q``, the value of each share, of a numeric column's finite values.
+
+    The quantiles come from Spark's mergeable summary (Greenwald and Khanna):
+    a value's rank is off by at most count / ``accuracy``, so up to that many
+    values they are exact, and partitions only send their summaries.
+    """
+    x = F.col(column).cast("double")
+    finite = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x") & (F.abs("_x") < float("inf")))
+    return finite.agg(F.count("*").alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"),
+                      F.percentile_approx("_x", [float(s) for s in shares], accuracy).alias("q"))
+
+
+#: Automatic histograms have at most so many bins; more are widened to fit.
+MAX_BINS = 10_000
+
+
+def automatic_bins(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:
+    """One row (n, lo, hi, bins, width): bins as the data ask for, in one pass.
+
+    The wider count of two rules is taken: Sturges, log2(n) + 1 bins, and
+    Freedman and Diaconis, bins of 2 (q3 - q1) / n^(1/3), where the
+    interquartile range is not zero.  A rank error e moves a quartile to a
+    value at most e of the rows away (`quantile_points`), and the number of
+    bins changes by the same factor as the range between them.  A column of
+    one value has one bin; a column without values no row.
+    """
+    p = quantile_points(df, column, (0.25, 0.75), accuracy).where("n > 0")
+    spread, iqr = F.col("hi") - F.col("lo"), F.col("q")[1] - F.col("q")[0]
+    n = F.col("n").cast("double")
+    sturges = spread / (F.log2(n) + 1)
+    diaconis = F.when(iqr > 0, 2 * iqr / F.cbrt(n))
+    bins = F.when(spread == 0, 1).otherwise(F.least(F.lit(MAX_BINS), F.ceil(spread / F.least(sturges, diaconis))))
+    out = p.select("n", "lo", "hi", bins.cast("int").alias("bins"))
+    return out.withColumn("width", (F.col("hi") - F.col("lo")) / F.col("bins"))
+
+
+def automatic_histogram(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:
+    """(bin, lo, hi, count) over the bins of `automatic_bins`, empty ones included."""
+    auto = automatic_bins(df, column, accuracy).select(
+        F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("bins").alias("_bins"), F.col("width").alias("_width"))
+    x = F.col(column).cast("double")
+    finite = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x") & (F.abs("_x") < float("inf")))
+    spread = F.col("_hi") - F.col("_lo")
+    place = F.when(spread == 0, F.lit(0)).otherwise(F.least(
+        F.col("_bins") - 1, F.floor((F.col("_x") - F.col("_lo")) / spread * F.col("_bins")).cast("int")))
+    counts = finite.crossJoin(F.broadcast(auto)).groupBy(place.alias("bin")).agg(F.count("*").alias("count"))  # one row
+    grid = auto.select("*", F.explode(F.sequence(F.lit(0), F.col("_bins") - 1)).alias("bin"))
+    return (grid.join(counts, "bin", "left")
+            .select("bin", (F.col("_lo") + F.col("bin") * F.col("_width")).alias("lo"),
+                    (F.col("_lo") + (F.col("bin") + 1) * F.col("_width")).alias("hi"),
+                    F.coalesce("count", F.lit(0)).cast("long").alias("count"))
+            .orderBy("bin"))
+
+
 def split_sizes(df: DataFrame, split_col: str = "split", user: str = "user_id",
                 item: str = "item_id") -> DataFrame:
     """(split, rows, users, items) for a split assignment."""

@@ -249,6 +249,23 @@ grid AS (SELECT CAST(range AS INTEGER) AS bin FROM range({b}))
 SELECT g.bin, {_r(f'lo + g.bin * ((hi - lo) / {b})')} AS lo,
   {_r(f'lo + (g.bin + 1) * ((hi - lo) / {b})')} AS hi, coalesce(n, 0) AS count
 FROM grid g CROSS JOIN st LEFT JOIN cnt c ON g.bin = c.bin"""
+    q["timestamp_histogram"] = _with(RATINGS) + f"""
+, x AS (SELECT CAST(ts AS DOUBLE) AS x, row_number() OVER (ORDER BY ts) AS rn, count(*) OVER () AS n FROM ratings),
+st AS (SELECT any_value(n) AS n, min(x) AS lo, max(x) AS hi, max(CASE WHEN rn = ceil(n * 0.25) THEN x END) AS q1,
+    max(CASE WHEN rn = ceil(n * 0.75) THEN x END) AS q3 FROM x),
+au AS (SELECT *, CASE WHEN hi = lo THEN 1 ELSE least(10000, ceil((hi - lo) / least((hi - lo) / (log2(n) + 1),
+    CASE WHEN q3 > q1 THEN 2 * (q3 - q1) / cbrt(n) ELSE 1E300 END)))::INTEGER END AS bins FROM st),
+cnt AS (SELECT CASE WHEN hi = lo THEN 0 ELSE least(bins - 1, floor((x - lo) / (hi - lo) * bins)::INTEGER) END AS bin,
+    count(*) AS n FROM x, au GROUP BY 1),
+grid AS (SELECT CAST(unnest(range(bins)) AS INTEGER) AS bin FROM au)
+SELECT g.bin, {_r('lo + g.bin * ((hi - lo) / bins)', 3)} AS lo, {_r('lo + (g.bin + 1) * ((hi - lo) / bins)', 3)} AS hi,
+  coalesce(c.n, 0) AS count
+FROM grid g CROSS JOIN au LEFT JOIN cnt c ON g.bin = c.bin"""
+    q["title_onehot"] = """
+SELECT p_partkey AS item_id, (SELECT count(DISTINCT p_name) FROM part) AS size, place, CASE WHEN place IS NULL THEN NULL
+  ELSE 1E0 END AS value
+FROM part LEFT JOIN (SELECT p_name, row_number() OVER (ORDER BY p_name) - 1 AS place
+  FROM (SELECT DISTINCT p_name FROM part WHERE p_name IS NOT NULL)) USING (p_name)"""
     q["split_sizes_stratified"] = _with(RATINGS, STRAT) + """
 SELECT split, count(*) AS rows, count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items
 FROM strat GROUP BY split"""
@@ -573,13 +590,22 @@ base AS (
   FROM te, tr)
 SELECT '{kind}' AS model, metric, NULL::INTEGER AS class, n::BIGINT AS n, round(v, 9) AS base FROM base, LATERAL (
   VALUES ('accuracy', accuracy), ('mae', mae), ('rmse', rmse), ('macro_precision', NULL), ('macro_recall', NULL),
-         ('macro_f1', NULL), ('weighted_f1', NULL), ('als_mae', NULL)) x(metric, v)
+         ('macro_f1', NULL), ('weighted_f1', NULL)) x(metric, v)
+UNION ALL
+SELECT '{kind}', 'als_mae', NULL, n::BIGINT, NULL FROM base WHERE '{kind}' LIKE 'ncf%'
 UNION ALL
 SELECT '{kind}', metric, rating, n::BIGINT, NULL FROM te, (VALUES ('precision'), ('recall'), ('f1'), ('auc')) x(metric)""")
     q["model_test_metrics"] = "SELECT *, true AS within_bound FROM (" + ") UNION ALL SELECT *, true FROM (".join(parts) + ")"
     q["vae_training_history"] = """
 SELECT 'variational' AS run, 0E0 AS first_kl_weight, true AS best_after_first, true AS reconstructs_better"""
     q["latent_pca"] = "SELECT vec_id, label, true AS projected, true AS in_order FROM embeddings"
+    q["latent_pca_moments"] = """
+WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+m AS (SELECT i, avg(x) AS m FROM e GROUP BY i),
+c AS (SELECT vec_id, i, x - m AS x FROM e JOIN m USING (i)),
+cov AS (SELECT a.i, b.i AS j, sum(a.x * b.x) / (count(*) - 1) AS v FROM c a JOIN c b USING (vec_id) GROUP BY ALL)
+SELECT count(DISTINCT i) AS components, round(sum(CASE WHEN i = j THEN v END), 6) AS total_variance,
+  round(sum(v * v), 6) AS squared_variance, 0E0 AS off_orthogonal, 0E0 AS off_variance FROM cov"""
     return q
 
 

@@ -7,6 +7,8 @@ BATCH_SIZE = 256
 BATCH_EPOCH = 1
 SAMPLE_N = 1000
 HIST_BINS = 10
+QUANTILE_ACCURACY = 1_000_000     # quartiles are exact up to so many rows
+HOT_VALUE = 100                   # rows from which a category is joined apart
 NOISE_SIGMA = 0.05
 LATENT_NORM_WEIGHT = 0.001
 HIST_EPOCHS = 20

@@ -232,6 +232,22 @@ def age_histogram(spark, d):
     return h.select("bin", R("lo").alias("lo"), R("hi").alias("hi"), "count")
 
 
+@query
+def timestamp_histogram(spark, d):
+    """O-43: rating times in the bins that the data ask for."""
+    h = PR.automatic_histogram(TD.ratings(spark, d), "ts", P.QUANTILE_ACCURACY)
+    return h.select("bin", R("lo", 3).alias("lo"), R("hi", 3).alias("hi"), "count")
+
+
+@query
+def title_onehot(spark, d):
+    """O-14 over an open domain: each item's title as a sparse vector, encoded by a stored dictionary."""
+    items = TD.items(spark, d).select("item_id", "title")
+    coded = FE.sparse_one_hot(items, "title", FE.category_dictionary(items, "title"), "v", hot=P.HOT_VALUE)
+    return coded.select("item_id", F.col("v.size").alias("size"), F.element_at("v.indices", 1).alias("place"),
+                        F.element_at("v.values", 1).alias("value"))
+
+
 @query
 def split_sizes_stratified(spark, d):
     return PR.split_sizes(stratified(spark, d))

@@ -1,12 +1,15 @@
 """Hand-computed fixtures and properties for the operators (synthetic rows only)."""
 
 import itertools
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ratekit.functions import columns as C
+from ratekit.models import latent as L
 from ratekit.operators import evaluation as E
 from ratekit.operators import features as FE
 from ratekit.operators import history as H
@@ -366,3 +369,114 @@ def test_ordering_helpers_edge_cases(spark):
     run = {r.x: r.cum_v for r in O.running_totals(
         spark.createDataFrame([(5, 2), (1, 3), (9, 4)], "x long, v long"), [F.desc("x")], ["v"]).collect()}
     assert run == {9: 4, 5: 6, 1: 9}
+
+
+# --- splits with repeated keys -----------------------------------------------------------------
+
+def _sizes(df):
+    return {r.split: r.n for r in df.groupBy("split").agg(F.count("*").alias("n")).collect()}
+
+
+def _ceil(n, f):
+    return -(-n * f.numerator // f.denominator)
+
+
+@pytest.mark.parametrize("hot_at", [10, 200_000])
+def test_random_split_is_exact_with_repeated_and_null_keys(spark, monkeypatch, hot_at):
+    monkeypatch.setattr(S, "HOT", hot_at)
+    rows = [(None, i % 3) for i in range(100)] + [("same", 7)] * 200 + [(f"k{i}", i) for i in range(307)]
+    df = spark.createDataFrame(rows, "k string, x int")
+    for test, val in ((0.1, 0.1), (0.33, 0.5), (0.5, 0.15)):
+        got = S.random_split(df, "k", test, val, "remainder", out="split")
+        n_test = _ceil(607, S.as_fraction(test))
+        n_val = _ceil(607 - n_test, S.as_fraction(val))
+        assert _sizes(got) == {"test": n_test, "val": n_val, "train": 607 - n_test - n_val}
+        assert sorted((r.k or "", r.x) for r in got.collect()) == sorted((k or "", x) for k, x in rows)
+        again = S.random_split(df.repartition(7), "k", test, val, "remainder", out="split")
+        assert sorted(map(repr, map(tuple, again.collect()))) == sorted(map(repr, map(tuple, got.collect())))
+
+
+@pytest.mark.parametrize("hot_at", [10, 200_000])
+def test_stratified_split_is_exact_with_repeated_keys_and_a_heavy_stratum(spark, monkeypatch, hot_at):
+    monkeypatch.setattr(S, "HOT", hot_at)
+    rows = [(None, f"n{i % 4}") for i in range(30)] + [(1, "same")] * 150 + [(1, f"a{i}") for i in range(50)]
+    rows += [(2, None)] * 40 + [(3, "b")] + [(i, f"c{i}-{j % 3}") for i in range(4, 30) for j in range(i % 9)]
+    df = spark.createDataFrame(rows, "user_id int, k string")
+    got = S.stratified_split(df, "user_id", "k", 0.15, 0.15)
+    f = S.validation_fraction(0.15, 0.15, "total")
+    n_test = _ceil(len(rows), S.as_fraction(0.15))
+    n_val = _ceil(len(rows) - n_test, f)
+    assert _sizes(got) == {"test": n_test, "val": n_val, "train": len(rows) - n_test - n_val}
+    assert sorted(map(repr, [(r.user_id, r.k) for r in got.collect()])) == sorted(map(repr, rows))
+    for r in got.groupBy("user_id").agg(F.count("*").alias("n"), F.sum((F.col("split") == "test").cast("int")).alias("t")).collect():
+        assert r.n * 15 // 100 <= r.t <= r.n * 15 // 100 + 1
+
+
+def test_splits_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "user_id int, k string")
+    assert S.stratified_split(df).count() == 0 and S.random_split(df).count() == 0
+
+
+# --- automatic bins, open domains, components --------------------------------------------------
+
+def test_automatic_bins_follow_the_rule_on_exact_quantiles(spark):
+    rng = random.Random(5)
+    values = [rng.gauss(10, 2) for _ in range(3000)] + [rng.expovariate(0.05) for _ in range(50)]
+    rows = [(v,) for v in values] + [(None,), (float("nan"),), (float("inf"),)]
+    df = spark.createDataFrame(rows, "x double")
+    got = PR.automatic_bins(df, "x").first()
+    x = sorted(values)
+    n, spread = len(x), x[-1] - x[0]
+    q1, q3 = x[math.ceil(0.25 * n) - 1], x[math.ceil(0.75 * n) - 1]
+    want = math.ceil(spread / min(spread / (math.log2(n) + 1), 2 * (q3 - q1) / n ** (1 / 3)))
+    assert (got.n, got.lo, got.hi, got.bins) == (n, x[0], x[-1], want)
+    h = PR.automatic_histogram(df, "x").collect()
+    assert [r.bin for r in h] == list(range(want)) and sum(r["count"] for r in h) == n
+    # a coarse summary moves a quartile by its stated share of the ranks at most
+    q = PR.quantile_points(df, "x", (0.25, 0.75), accuracy=50).first().q
+    assert all(abs(sum(v <= got_q for v in x) - p * n) <= n / 50 + 1 for got_q, p in zip(q, (0.25, 0.75)))
+
+
+def test_automatic_bins_without_spread_or_values(spark):
+    one = spark.createDataFrame([(3.0,), (3.0,), (None,)], "x double")
+    assert [tuple(r) for r in PR.automatic_histogram(one, "x").collect()] == [(0, 3.0, 3.0, 2)]
+    none = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert PR.automatic_bins(none, "x").count() == 0 and PR.automatic_histogram(none, "x").count() == 0
+    flat = spark.createDataFrame([(0.0,)] * 90 + [(float(i),) for i in range(10)], "x double")
+    assert PR.automatic_bins(flat, "x").first().bins == 8  # no interquartile range: Sturges alone
+
+
+def test_open_domain_encodes_heavy_unknown_and_null_values(spark):
+    rows = [(i, "heavy") for i in range(120)] + [(200 + i, f"v{i:02d}") for i in range(30)] + [(300, None)]
+    df = spark.createDataFrame(rows, "id int, c string")
+    dictionary = FE.category_dictionary(df, "c")
+    codes = {r.value: r.code for r in dictionary.collect()}
+    assert [codes[v] for v in sorted(codes)] == list(range(31))
+    new = df.unionByName(spark.createDataFrame([(400, "unseen"), (401, None)], "id int, c string"))
+    for hot in (100, 10_000):
+        got = FE.sparse_one_hot(new, "c", dictionary, hot=hot, salts=4).collect()
+        assert len(got) == len(rows) + 2
+        for r in got:
+            v = r.c_onehot
+            assert v.size == 31 and (v.indices, v.values) == (([codes[r.c]], [1.0]) if r.c in codes else ([], []))
+    frequent = FE.category_dictionary(df, "c", least=2)
+    assert [r.value for r in frequent.collect()] == ["heavy"]
+    empty = FE.sparse_one_hot(new.limit(1), "c", FE.category_dictionary(df.limit(0), "c")).first().c_onehot
+    assert (empty.size, empty.indices) == (0, [])
+
+
+def test_randomised_components_are_those_of_the_covariance(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 30)) * np.linspace(6, 0.1, 30) + 50
+    x = x @ np.linalg.qr(rng.normal(size=(30, 30)))[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(400, None)], "id int, v array<double>")
+    rows, variance, parts = L.randomised_pca(df, "v", 3, keep=("id",), rounds=8)
+    values, vectors = np.linalg.eigh(np.cov(x.T))
+    assert variance == pytest.approx(values[::-1][:3], rel=1e-6)
+    assert np.allclose(np.abs(np.sum(parts * vectors[:, ::-1][:, :3].T, axis=1)), 1, atol=1e-5)
+    got = {r.id: [r.pc_1, r.pc_2, r.pc_3] for r in rows.collect()}
+    assert np.allclose([got[i] for i in range(400)], (x - x.mean(axis=0)) @ parts.T) and got[400] == [None] * 3
+    again = L.randomised_pca(df.repartition(5), "v", 3, rounds=8)
+    assert np.allclose(again[2], parts, atol=1e-9)
+    with pytest.raises(ValueError):
+        L.randomised_pca(df.limit(0), "v", 1)
