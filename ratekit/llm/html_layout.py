@@ -5,7 +5,9 @@ HTML lets authors leave out, hidden parts are passed over, and the rest is
 laid out: white space collapses, blocks start on their own line and keep
 their spacing, list items get bullets or numbers and indentation, table
 cells are padded to aligned columns (rowspan and colspan included),
-preformatted text keeps its line breaks.
+preformatted text keeps its line breaks (also blocks whose own style says
+so), a line break after another leaves an empty line, and buttons show
+their labels.
 
 All visible text is emitted, navigation and footers too: this is a
 renderer, not a main-content guesser.  Hidden are: head, scripts, styles,
@@ -28,6 +30,7 @@ empty table need no special care; other columns are untouched.
 from __future__ import annotations
 
 import re
+from itertools import accumulate
 from html import unescape
 
 import pandas as pd
@@ -48,6 +51,11 @@ NEVER_SEEN = set("head script style template title noscript iframe noembed nofra
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer "
                "form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 BLOCK = CLOSES_P | set("html body li dt dd summary legend caption optgroup option tr td th".split())
+TABLE_PARTS = set("table caption tbody thead tfoot tr td th".split())
+#: Buttons made by an input element, and what they say without a value.
+LABELLED = {"submit": "Submit", "reset": "Reset", "button": ""}
+#: Values of white-space that keep spaces and line breaks as written.
+PRESERVED = {"pre", "pre-wrap", "break-spaces"}
 SPACED = set("blockquote dl figure fieldset h1 h2 h3 h4 h5 h6 hr ol p pre table ul".split())
 #: start tag -> (tags it closes, tags beyond which it does not look)
 IMPLIED_END = {
@@ -212,7 +220,7 @@ def _css_rules(css: str):
 
 
 def _style_rules(root: Node) -> dict[str, dict[str, str]]:
-    """Simple selector -> display and visibility, from the page's own style sheets."""
+    """Simple selector -> display, visibility and white-space, from the page's own style sheets."""
     rules: dict[str, dict[str, str]] = {}
     todo = [root]
     while todo:
@@ -220,7 +228,7 @@ def _style_rules(root: Node) -> dict[str, dict[str, str]]:
         if node.tag == "style" and _on_screen(node.attributes.get("media", "")):
             css = re.sub(r"/\*.*?\*/", "", "".join(c for c in node.children if isinstance(c, str)), flags=re.S)
             for selectors, body in _css_rules(css):
-                said = {k: v for k, v in _declared(body).items() if k in ("display", "visibility")}
+                said = {k: v for k, v in _declared(body).items() if k in ("display", "visibility", "white-space")}
                 for selector in selectors.split(",") if said else ():
                     if _SIMPLE.fullmatch(selector.strip()):
                         rules.setdefault(selector.strip(), {}).update(said)
@@ -267,6 +275,14 @@ class Flow:
             if line:
                 self.put([line])
 
+    def line_break(self) -> None:
+        """End the line that is being written, or leave an empty one after what stands there."""
+        if "".join(self.inline).strip(" \t\n\f\r"):
+            self.end_line()
+        else:
+            self.inline = []
+            self.gap += bool(self.lines)
+
     def put(self, lines: list[str]) -> None:
         if self.lines:
             self.lines += [""] * self.gap
@@ -296,7 +312,11 @@ class Page:
 
     def children(self, node: Node, flow: Flow, seen: bool) -> None:
         closed = node.tag == "details" and "open" not in node.attributes
-        number = _whole(node.attributes.get("start"), 1) if node.tag == "ol" else 0
+        number, step = 0, 1
+        if node.tag == "ol":
+            step = -1 if "reversed" in node.attributes else 1
+            least = sum(isinstance(c, Node) and c.tag == "li" for c in node.children) if step < 0 else 1
+            number = _whole(node.attributes.get("start"), least)
         for child in node.children:
             if isinstance(child, str):
                 if seen and not closed:
@@ -312,15 +332,24 @@ class Page:
             if child.tag == "li":
                 number = _whole(child.attributes.get("value"), number) if node.tag == "ol" else 0
                 self.item(child, flow, shown, f"{number}. " if node.tag == "ol" else "- ")
-                number += 1
+                number += step
             else:
-                self.element(child, flow, shown, node)
+                self.element(child, flow, shown, node, said)
 
-    def element(self, node: Node, flow: Flow, seen: bool, parent: Node) -> None:
+    def element(self, node: Node, flow: Flow, seen: bool, parent: Node, said: dict[str, str]) -> None:
         tag = node.tag
         if tag == "br":
-            if flow.inline:
-                flow.end_line()
+            flow.line_break()
+        elif tag == "input":
+            label = LABELLED.get(node.attributes.get("type", "").lower())
+            if label is not None and seen:
+                flow.text(node.attributes.get("value", label))
+        elif tag in BLOCK and tag not in TABLE_PARTS and said.get("white-space") in PRESERVED:
+            flow.block(tag in SPACED)
+            lines = self.raw(node, seen).expandtabs(8).strip("\n").split("\n")
+            if any(line.strip() for line in lines):
+                flow.put([line.rstrip() for line in lines])
+            flow.block(tag in SPACED)
         elif tag in ("pre", "textarea", "xmp"):
             flow.block(True)
             lines = self.raw(node, seen).expandtabs(8).strip("\n").split("\n")
@@ -391,24 +420,39 @@ class Page:
             spans = {c: left - 1 for c, left in spans.items() if left > 1}
             grid.append(placed)
         above.end_line()
-        widths: dict[int, int] = {}
-        for placed in grid:
-            for column, wide, lines in placed:
-                need = max(map(len, lines), default=0)
-                if wide == 1:
-                    widths[column] = max(widths.get(column, 0), need)
+        starts = self.starts(grid)
         out = list(above.lines)
         for placed in grid:
             for i in range(max((len(lines) for _, _, lines in placed), default=0)):
                 line = ""
                 for column, _, lines in placed:
-                    start = sum(widths.get(c, 0) + 3 for c in sorted(widths) if c < column)
                     if i < len(lines) and lines[i]:
-                        line = (line.ljust(max(0, start - 3)) + " | " if column else line) + lines[i]
+                        line = (line.ljust(max(0, starts[column] - 3)) + " | " if column else line) + lines[i]
                 if line:
                     out.append(line)
         return out
 
+    @staticmethod
+    def starts(grid) -> list[int]:
+        """Where each column begins: after the widest cells before it.
+
+        A cell over several columns widens the last of them by what it
+        lacks; narrower spans come first.
+        """
+        widths = [0] * max((column + wide for placed in grid for column, wide, _ in placed), default=0)
+        spanning = []
+        for placed in grid:
+            for column, wide, lines in placed:
+                need = max(map(len, lines), default=0)
+                if wide == 1:
+                    widths[column] = max(widths[column], need)
+                elif need:
+                    spanning.append((wide, column, need))
+        for wide, column, need in sorted(spanning):
+            there = sum(widths[column:column + wide]) + 3 * (wide - 1)
+            widths[column + wide - 1] += max(0, need - there)
+        return [0, *accumulate(w + 3 for w in widths)]
+
     def rows(self, part: Node, seen: bool, above: Flow):
         """(row, visible) for the rows of a table; other content goes above."""
         for child in part.children:
@@ -424,14 +468,14 @@ class Page:
             if child.tag == "tr":
                 strays = [c for c in child.children if not (isinstance(c, str) or c.tag in ("td", "th"))]
                 for stray in strays:
-                    self.element(stray, above, shown, child)
+                    self.element(stray, above, shown, child, _styled(stray, self.rules))
                 if any(isinstance(c, str) and c.strip() for c in child.children) and shown:
                     above.text(" ".join(c for c in child.children if isinstance(c, str)))
                 yield child, shown
             elif child.tag in ("tbody", "thead", "tfoot"):
                 yield from self.rows(child, shown, above)
             else:
-                self.element(child, above, shown, part)
+                self.element(child, above, shown, part, said)
 
 
 def _whole(value: str | None, default: int) -> int:

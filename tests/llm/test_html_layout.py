@@ -10,7 +10,15 @@ CASES = [
     (None, None), ("", ""), ("plain  text", "plain text"),
     ("<p>a<p>b <b>c</b>d", "a\n\nb cd"),
     ("<div>a<div>b</div>c</div>", "a\nb\nc"),
-    ("a<br>b<br/><br>c", "a\nb\nc"),
+    ("a<br>b<br/><br>c", "a\nb\n\nc"), ("<br><br>a<br>\n<br><br>b<br><br>", "a\n\n\nb"), ("<div>a</div><br>b", "a\n\nb"),
+    ("<table><tr><td colspan=2>long spanning header cell<td>z<tr><td>a<td>b<td>c</table>",
+     "long spanning header cell | z\na | b                     | c"),
+    ("<table><tr><td>x<td colspan=3>y<tr><td>aa<td>b<td>c<td>d<tr><td colspan=4>w</table>", "x  | y\naa | b | c | d\nw"),
+    ("<input type=submit value=Go> <input type=reset> <input type=button value='Pick one'> <input value=typed>", "Go Reset Pick one"),
+    ("<p style='visibility:hidden'><input type=submit value=no></p>yes", "yes"),
+    ("<div style='white-space: pre'>a  b\n  c</div>d", "a  b\n  c\nd"),
+    ("<style>.c{white-space:pre-wrap}</style><p class=c>x\n\n y</p>z", "x\n\n y\n\nz"),
+    ("<ol reversed><li>x<li>y<li>z</ol>", "3. x\n2. y\n1. z"), ("<ol reversed start=10><li>x<li value=4>y<li>z</ol>", "10. x\n4. y\n3. z"),
     ("<ul><li>x<li>y<ol start=3><li>q<li value=9>z</ol></ul>t", "- x\n- y\n  3. q\n  9. z\n\nt"),
     ("<table><tr><th>Name<th>Qty<tr><td>pear tree<td>10<tr><td>x</table>", "Name      | Qty\npear tree | 10\nx"),
     ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a | b\n  | c"),
@@ -82,6 +90,16 @@ def test_deep_and_broken_pages_lose_no_text():
         H.render(broken)
 
 
+def test_wide_tables_and_long_pages_take_time_in_proportion():
+    import time
+    row = "<tr>" + "<td>x" * 1500
+    at = time.perf_counter()
+    lines = H.render("<table>" + row * 20 + "</table>").split("\n")
+    assert lines == [" | ".join(["x"] * 1500)] * 20 and time.perf_counter() - at < 3
+    page = "<p>word " * 40_000 + "<pre>" + "line\n" * 40_000 + "</pre>"
+    assert H.render(page).count("word") == 40_000 and H.render(page).count("line") == 40_000
+
+
 def test_query_and_clashing_columns(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     out = QUERIES["op1_html_layout"](spark, SF).collect()
