@@ -69,3 +69,18 @@ def test_nulls_in_any_column_and_repeated_rows(spark):
         assert docs.dtypes == spark.createDataFrame([], schema).dtypes
     left = sorted((r.doc_id is not None, r.doc_id or 0) for r in docs.collect())
     assert left[0][0] is False and (True, 4) in left and left.count((True, 1)) <= 1
+
+
+def test_further_columns_with_clashing_names_and_a_very_long_text(spark):
+    words = [f"w{i}" for i in range(120_000)]
+    rows = [(1, " ".join(words), "en", "a", 5, "r", "k", None, 2.0), (2, " ".join(words[:50]) + "\n" + " ".join(words[60:90]), "en", "a", 5, "r", "k", "n", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row string, "
+                                       "kept string, n_words string, component double")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.dtypes == docs.dtypes
+        docs = out
+    left = {r.doc_id: r for r in docs.collect()}
+    assert left[1].text == rows[0][1] and tuple(left[2]) == rows[1]
+    tokens = {r.doc_id: r for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()}
+    assert tokens[1].round_trip and tokens[1].n_tokens > 120_000
