@@ -42,8 +42,8 @@ MAX_VOCABULARY = 64 << 20
 LONG_PIECE = 512
 #: Cells of one padded matrix.
 MATRIX_CELLS = 1 << 18
-#: Distinct pieces a worker remembers before it starts afresh.
-PIECE_CACHE = 120_000
+#: Distinct pieces a worker remembers before it starts afresh, and characters of the longest one it does.
+PIECE_CACHE, CACHED_CHARS = 120_000, 64
 
 _NONE = np.int32(2**31 - 1)
 
@@ -131,7 +131,11 @@ class ByteBPE:
             known.clear()
             new = {p for found in pieces for p in found}
         self._learn(list(new))
-        return [b"".join(map(known.__getitem__, found)) for found in pieces]
+        out = [b"".join(map(known.__getitem__, found)) for found in pieces]
+        for p in new:
+            if len(p) > CACHED_CHARS:
+                del known[p]
+        return out
 
     def _learn(self, pieces: list[str]) -> None:
         """Put the ids of each new piece into the cache."""
