@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import broadcast_if_small
+from .common import arrow_batches, broadcast_if_small
 
 #: Trees, vectors of the sample at most, and vectors of a leaf of the sample.
 TREES, SAMPLE, LEAF = 16, 16_384, 16
@@ -61,6 +61,8 @@ TREES, SAMPLE, LEAF = 16, 16_384, 16
 SHARE = 1.2
 #: Bytes of a block of queries, and rows and queries of a tile.
 QUERY_BYTES, TILE = 32 << 20, 1024
+#: Bytes of an Arrow batch: vectors are of one size, so rows need not be measured one by one.
+NO_BOUND = 2**31 - 1
 SEED = 20
 
 
@@ -218,8 +220,9 @@ def index(vectors: DataFrame, forest: list[Tree]) -> DataFrame:
                 leaf = np.stack([t.leaf_of(x) for t in shared.value], axis=1).astype(np.int32)
                 yield b.append_column("leaf", pa.array(list(leaf), pa.list_(pa.int32())))
 
-    return materialize(vectors.mapInArrow(place, "id long, vector array<double>, ids array<long>, leaf array<int>"),
-                       "vector-index")
+    with arrow_batches(vectors.sparkSession, TILE, NO_BOUND):
+        return materialize(vectors.mapInArrow(place, "id long, vector array<double>, ids array<long>, leaf array<int>"),
+                           "vector-index")
 
 
 def _matrix(column: pa.Array, n: int) -> np.ndarray:
@@ -276,8 +279,9 @@ def _plans(queries: DataFrame, forest: list[Tree], sizes: list[np.ndarray], shar
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("vector"), pa.array(bits, pa.binary())],
                                              ["id", "vector", "open"])
 
-    return materialize(queries.select("id", "vector").mapInArrow(plan, "id long, vector array<double>, open binary"),
-                       "query-plans")
+    with arrow_batches(queries.sparkSession, TILE, NO_BOUND):
+        return materialize(queries.select("id", "vector").mapInArrow(plan, "id long, vector array<double>, open binary"),
+                           "query-plans")
 
 
 def _merge(best_s: np.ndarray, best_r: np.ndarray, s: np.ndarray, r: np.ndarray, n: int):
@@ -387,7 +391,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id
                    leaf_sizes(indexed, forest), share)
     found = None
     for block in query_blocks(plans):
-        part = materialize(_scan(indexed, block, forest, k + 1), "found")
+        with arrow_batches(spark, TILE, NO_BOUND):
+            part = materialize(_scan(indexed, block, forest, k + 1), "found")
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
