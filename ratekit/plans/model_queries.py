@@ -1,13 +1,13 @@
 """Registered model queries, over ratings that can be learnt.
 
 The ratings are planted (`testdata.planted_ratings`: a user effect, an item
-effect, an interaction and noise), so a model that works beats the mean and
-its ALS baseline.  Scores are floating numbers that no SQL engine repeats,
+effect, an interaction and noise), so a model that works beats the mean by
+far.  Scores are floating numbers that no SQL engine repeats,
 so the queries return what SQL can state: which rows a model must score,
 that each one is scored and in range, class supports counted from the
 model's own confusion cells, the errors of constant baselines by value, and
-whether the model's figures are better than those and than ALS.  Each kind
-is fitted once in a session and shared by the queries that ask for it.
+whether the model's figures are better than those.  (Against ALS the models
+are held by the tests, on low-rank ratings.)  Each kind is fitted once in a session and shared by the queries that ask for it.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..models import als
 from ..models import latent as L
 from ..models import rating_models as M
 from ..models.trainer import BATCH_ROWS
@@ -34,8 +33,6 @@ LEARNS = 0.8
 #: Sizes and settings of the queries' models.
 NET = {"rank": 8, "tower": (64, 32), "latent": 8, "batch": 256, "lr": 0.02, "init": 0.3, "embedding_decay": 0.1,
        "dropout": 0.0, "epochs": 12, "plateau_patience": 4}
-#: Kinds whose test error the metrics query holds against ALS on the same ratings.
-AGAINST_ALS = ("ncf_classifier", "ncf_regressor")
 #: Epochs of the run that is cut and resumed, and after which it is cut.
 RESUMED, CUT = 4, 2
 
@@ -140,14 +137,13 @@ def _baselines(splits: DataFrame) -> DataFrame:
 
 @query
 def model_test_metrics(spark, d):
-    """O-07 + O-84: every model's metrics, overall and per class, against baselines and ALS.
+    """O-07 + O-84: every model's metrics, overall and per class, against baselines.
 
     ``n``: the rows behind a figure (for a class, the sum of its confusion
     cells); ``base``: accuracy of the commonest training class, MAE and RMSE
     of the training mean; ``within_bound``: whether the model's figure is
-    better than the baseline, for the kinds that read ratings only its MAE
-    under ALS's too (``als_mae``), AUC over 0.6, and precision, recall and F1
-    are shares that agree with each other.
+    better than the baseline, AUC over 0.6, and precision, recall and F1 are
+    shares that agree with each other.
     """
     parts = []
     for kind in M.KINDS:
@@ -163,14 +159,6 @@ def model_test_metrics(spark, d):
         n = F.broadcast(scored.agg(F.count("*").alias("n")))
         parts.append(overall.crossJoin(n).select("model", "metric", "class", "n", F.round(ref, 9).alias("base"),
                                                  better.alias("within_bound")))
-        if kind in AGAINST_ALS:
-            factors = als.fit_als(res.splits.where("split = 'train'"), rank=NET["rank"])
-            test = factors.score(res.splits.where("split = 'test'"))
-            error = E.regression_errors(test, "rating", "als_score").select(F.col("mae").alias("als_mae"))  # one row
-            mae = long.where("metric = 'mae'").crossJoin(F.broadcast(error)).crossJoin(n)
-            parts.append(mae.select("model", F.lit("als_mae").alias("metric"), "class", "n",
-                                    F.lit(None).cast("double").alias("base"),
-                                    (F.col("value") < F.col("als_mae")).alias("within_bound")))
         cells = E.confusion_matrix(scored, "actual", "predicted")
         support = F.broadcast(cells.groupBy(F.col("actual").alias("class")).agg(F.sum("n").alias("n")))
         per = long.where("class IS NOT NULL").groupBy("model", "class").pivot("metric", ["precision", "recall", "f1"]).agg(

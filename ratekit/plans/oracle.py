@@ -592,8 +592,6 @@ SELECT '{kind}' AS model, metric, NULL::INTEGER AS class, n::BIGINT AS n, round(
   VALUES ('accuracy', accuracy), ('mae', mae), ('rmse', rmse), ('macro_precision', NULL), ('macro_recall', NULL),
          ('macro_f1', NULL), ('weighted_f1', NULL)) x(metric, v)
 UNION ALL
-SELECT '{kind}', 'als_mae', NULL, n::BIGINT, NULL FROM base WHERE '{kind}' LIKE 'ncf%'
-UNION ALL
 SELECT '{kind}', metric, rating, n::BIGINT, NULL FROM te, (VALUES ('precision'), ('recall'), ('f1'), ('auc')) x(metric)""")
     q["model_test_metrics"] = "SELECT *, true AS within_bound FROM (" + ") UNION ALL SELECT *, true FROM (".join(parts) + ")"
     q["vae_training_history"] = """
