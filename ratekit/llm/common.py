@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
 import functools
 
 import numpy as np
@@ -11,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import session
+
 #: A table is broadcast only where its counted rows stay under this many bytes.
 BROADCAST_BYTES = 64 << 20
 
@@ -29,18 +30,9 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-@contextlib.contextmanager
 def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES):
-    """Bound Arrow batches by rows and bytes for the jobs run inside, and put the session's bounds back."""
-    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
-    before = [spark.conf.get(n, None) for n in names]
-    for name, value in zip(names, (rows, size)):
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in zip(names, before):
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    """Bound Arrow batches for the jobs run inside a ``with``; the session's bounds are put back."""
+    return session.arrow_batches(spark, rows, size)
 
 
 def packed(docs: DataFrame, **columns: str) -> DataFrame:
@@ -61,7 +53,7 @@ def _bytes_of(value: Column, kind: T.DataType) -> Column:
         parts = [_bytes_of(value[f.name], f.dataType) for f in kind.fields if _varies(f.dataType)]
         return functools.reduce(Column.__add__, parts, F.lit(0).cast("long"))
     if not _varies(kind.elementType):
-        return F.coalesce(F.size(value), F.lit(0)).cast("long") * 16
+        return F.greatest(F.coalesce(F.size(value), F.lit(0)), F.lit(0)).cast("long") * 16
     return F.coalesce(F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + 16 + _bytes_of(x, kind.elementType)),
                       F.lit(0).cast("long"))
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import BROADCAST_BYTES, broadcast_if_small, packed
+from .common import BROADCAST_BYTES, broadcast_if_small, measured_bytes, packed
 
 WINDOW = 13
 #: A document goes if at least one word in this many is hit.
@@ -40,8 +40,8 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The characters between words, upper-case letters not among them.
 _BETWEEN = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 _WORD = rf"[^{_BETWEEN}]+"
-#: Bytes that a window takes in the broadcast set, at most about so many.
-_WINDOW_BYTES = 600
+#: Bytes of a window in the broadcast set, its words apart.
+_WINDOW_BYTES = 64
 
 
 def _words(text: Column) -> Column:
@@ -89,7 +89,7 @@ def window_hits(docs: DataFrame, windows: DataFrame, doc_id: str = "doc_id", tex
     # nor an interpreted function may stand between here and the comparison
     places = rows.select("doc_id", "text_hash", "w", F.posexplode_outer(F.concat("w", F.array(F.lit("")))))
     keyed = places.withColumn("anchor", F.xxhash64("col"))
-    blocks = 1 + windows.count() * _WINDOW_BYTES // BROADCAST_BYTES
+    blocks = 1 + measured_bytes(windows, _WINDOW_BYTES) // BROADCAST_BYTES
     start = F.col("pos") - F.col("place")
     here = F.slice("w", F.greatest(start + 1, F.lit(1)), F.size("words"))
     hit = F.when(F.size("words") == 0, F.col("col") == "").otherwise((start >= 0) & (here == F.col("words")))

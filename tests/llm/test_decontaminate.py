@@ -89,3 +89,14 @@ def test_empty_tables(spark, docs_of):
 
 def test_query_matches_sql_and_runs_no_python(spark, duck):
     compare(spark, duck, "op6_decontaminate", QUERIES, ORACLE_SQL)
+
+
+def test_windows_in_measured_blocks_with_a_very_long_word(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(DC, "BROADCAST_BYTES", 8 << 20)
+    long = "x" * 1_000_000
+    passage = " ".join(f"p{i}" for i in range(8)) + f" {long} " + " ".join(f"q{i}" for i in range(8))
+    items = [(1, passage), (2, " ".join(f"r{i}" for i in range(20)))]
+    docs = [(1, "before " + passage + " after"), (2, "x" * 999_999 + " p1 p2"), (3, items[1][1]), (4, long)]
+    out = DC.contamination(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = sorted(repr((r.doc_id, r.n_words, r.n_hit, list(r["items"]), r.contaminated)) for r in out)
+    assert got == sorted(repr((i, *brute(t, items))) for i, t in docs)
