@@ -32,7 +32,7 @@ def main():
     report = {"sf": os.path.basename(sf.rstrip("/")), "models": {}}
     for kind in M.KINDS:
         t0 = time.perf_counter()
-        res = Q._fit(spark, sf, kind)
+        res = M.fit(*Q._inputs(spark, sf, kind))
         t1 = time.perf_counter()
         scored = materialize(res.scored_test, "scored")
         t2 = time.perf_counter()
