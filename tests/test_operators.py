@@ -480,3 +480,49 @@ def test_randomised_components_are_those_of_the_covariance(spark):
     assert np.allclose(again[2], parts, atol=1e-9)
     with pytest.raises(ValueError):
         L.randomised_pca(df.limit(0), "v", 1)
+
+
+def test_balanced_weights_compute_their_rows_once(spark):
+    # the counts are stored: what the totals and the rows read has no aggregate over the source left
+    w = S.balanced_class_weights(spark.range(100).select((F.col("id") % 3).cast("int").alias("rating")), "rating")
+    assert [(r.rating, r["count"], round(r.weight, 6)) for r in w.collect()] == [
+        (0, 34, round(100 / 102, 6)), (1, 33, round(100 / 99, 6)), (2, 33, round(100 / 99, 6))]
+    assert "Range" not in w._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_split_keys_are_stored_as_longs_in_the_order_of_their_hash(spark, monkeypatch):
+    stored = {}
+    keep = S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df, name, *a: stored.setdefault(name, keep(df, name, *a)))
+    df = spark.range(500).select(F.col("id").cast("string").alias("k"), (F.col("id") % 20).alias("user_id"))
+    S.stratified_split(df)
+    assert [f.dataType.simpleString() for f in stored["split-keys"].schema] == ["bigint", "bigint"]
+    rows = df.select(S.seeded_hash(42, "k").alias("h"), S.narrow(S.seeded_hash(42, "k")).alias("p")).collect()
+    assert [r.h for r in sorted(rows, key=lambda r: r.p)] == sorted(r.h for r in rows)
+
+
+def test_cold_and_hot_strata_are_cut_alike(spark, monkeypatch):
+    # users of 1 to 40 rows, a null user, keys that repeat: strata over HOT go by prefixes, the others by one shuffle
+    df = spark.range(900).select((F.col("id") % 450).cast("string").alias("k"), F.col("id").alias("row"),
+                                 F.when(F.col("id") % 11 != 0, F.floor(F.sqrt("id"))).alias("user_id"))
+    got = {}
+    for at in (0, 20, 200_000):
+        monkeypatch.setattr(S, "HOT", at)
+        got[at] = sorted((r.row, r.split) for r in S.stratified_split(df, test=0.2, val=0.2).collect())
+    assert got[0] == got[20] == got[200_000] and len(got[0]) == 900
+    assert sum(s == "test" for _, s in got[0]) == 180
+
+
+def test_both_lookups_move_vectors_with_rows_that_have_both(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", 1, 2), ("b", 1, 9), ("c", 9, 2), ("d", 9, 9), ("e", None, 2), ("f", 3, 1), ("g", 4, 9),
+                                  ("h", 9, 4)], "k string, user_id long, item_id long")
+    e = spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0, 4.0]), (2, None), (3, None), (4, [5.0, 6.0]), (4, [7.0, 8.0]),
+                               (None, [9.0, 9.0])], "vec_id long, embedding array<double>")
+    want = FE.lookup_vectors(FE.lookup_vectors(rows, e, "user_id", "vec_id", "embedding", "u"), e, "item_id", "vec_id",
+                             "embedding", "v").collect()
+    both = lambda r: r.u is not None and r.v is not None
+    want = sorted(((r.k, int(r.u is not None), int(r.v is not None), (r.u, r.v) if both(r) else None) for r in want), key=str)
+    for at in (FE.BROADCAST_IDS, 0):
+        monkeypatch.setattr(FE, "BROADCAST_IDS", at)
+        got = FE.lookup_both(rows, e, "user_id", "item_id", "vec_id", "embedding").collect()
+        assert want == sorted(((r.k, r.has_u, r.has_v, (r.u, r.v) if both(r) else None) for r in got), key=str)
