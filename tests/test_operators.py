@@ -526,3 +526,20 @@ def test_both_lookups_move_vectors_with_rows_that_have_both(spark, monkeypatch):
         monkeypatch.setattr(FE, "BROADCAST_IDS", at)
         got = FE.lookup_both(rows, e, "user_id", "item_id", "vec_id", "embedding").collect()
         assert want == sorted(((r.k, r.has_u, r.has_v, (r.u, r.v) if both(r) else None) for r in got), key=str)
+
+
+def test_splits_of_named_columns_compute_rows_once_and_label_alike(spark):
+    base = spark.range(700).select((F.col("id") % 650).cast("string").alias("k"), (F.col("id") % 9).alias("user_id"),
+                                   F.col("id").alias("item_id"))
+    for df in (base.where("item_id < 650"), base):  # different keys, and keys that repeat
+        for split in (S.stratified_split, S.random_split):
+            whole = split(df, test=0.1, val=0.1)
+            for columns in (["user_id", "item_id"], ["k", "item_id"]):
+                part = split(df, test=0.1, val=0.1, columns=columns)
+                assert part.columns == [*columns, "split"]
+                assert sorted(part.collect()) == sorted(whole.select(*columns, "split").collect())
+    seen = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda x: (seen.add(1), x)[1], "string")
+    once = base.where("item_id < 650").withColumn("k", counted("k"))
+    S.random_split(once, columns=["item_id"]).collect()
+    assert seen.value == 650
