@@ -543,3 +543,10 @@ def test_splits_of_named_columns_compute_rows_once_and_label_alike(spark):
     once = base.where("item_id < 650").withColumn("k", counted("k"))
     S.random_split(once, columns=["item_id"]).collect()
     assert seen.value == 650
+
+
+def test_ranges_of_a_stored_split_follow_the_tables_it_reads(spark, monkeypatch):
+    monkeypatch.setattr(O, "RANGE_BYTES", 1 << 20)
+    df = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("user_id"))
+    rows = S.random_split(df, columns=["k"]).where("split = 'train'").select("k")
+    assert O._range_count(rows) == int(spark.conf.get("spark.sql.shuffle.partitions"))
