@@ -550,3 +550,21 @@ def test_ranges_of_a_stored_split_follow_the_tables_it_reads(spark, monkeypatch)
     df = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("user_id"))
     rows = S.random_split(df, columns=["k"]).where("split = 'train'").select("k")
     assert O._range_count(rows) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_stratified_split_of_named_columns_needs_no_cuts(spark, monkeypatch):
+    """Same labels as over all columns, with large strata, null ones and, at last, repeated keys."""
+    rows = [(None if u == 9 else u, f"k{u}-{i}", float(i)) for u in range(10) for i in range(3 + 7 * u)]
+    df = spark.createDataFrame(rows, "user_id long, k string, v double")
+    pick = lambda x: sorted(map(repr, x.select("user_id", "v", "split").collect()))
+    whole = S.stratified_split(df, test=0.15, val=0.15)
+    want = pick(whole)
+    with monkeypatch.context() as m:
+        m.setattr(S, "_cuts", None)
+        assert pick(S.stratified_split(df, test=0.15, val=0.15, columns=("user_id", "v"))) == want
+        m.setattr(S, "HOT", 30)
+        assert pick(S.stratified_split(df, test=0.15, val=0.15, columns=("v", "user_id"))) == want
+        assert S.stratified_split(df.limit(0), columns=("user_id", "v")).count() == 0
+    twice = df.unionByName(df).withColumn("k", F.when(F.col("user_id") > 4, "one").otherwise(F.col("k")))
+    want = pick(S.stratified_split(twice))
+    assert pick(S.stratified_split(twice, columns=("user_id", "v"))) == want
