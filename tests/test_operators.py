@@ -16,6 +16,7 @@ from ratekit.operators import history as H
 from ratekit.operators import ordering as O
 from ratekit.operators import profile as PR
 from ratekit.operators import splits as S
+from ratekit.plans.queries import REGISTRY
 
 
 # --- scalar functions -----------------------------------------------------------------
@@ -568,3 +569,8 @@ def test_a_stratified_split_of_named_columns_needs_no_cuts(spark, monkeypatch):
     twice = df.unionByName(df).withColumn("k", F.when(F.col("user_id") > 4, "one").otherwise(F.col("k")))
     want = pick(S.stratified_split(twice))
     assert pick(S.stratified_split(twice, columns=("user_id", "v"))) == want
+
+
+def test_noisy_features_do_not_join_the_ratings_with_the_users(spark):
+    plan = REGISTRY["noisy_user_features"](spark, "/root/testdata/sf0.001")
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1  # the cuts, one row
